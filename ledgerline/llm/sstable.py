@@ -4,7 +4,7 @@ A shard holds entries in ascending key order.  A key is the document's identifie
 (null first) and a running number that keeps repeated identifiers apart; a value is the document's ids, little-endian
 unsigned 32-bit.  Layout::
 
-    blocks   each: entries, restart offsets (u32 each), their number (u32), crc32 (u32)
+    blocks   each: zstd of (entries, restart offsets (u32 each), their number (u32)), length before (u32), crc32 (u32)
              entry: varint shared, varint unshared, varint value length, key suffix, value
     bloom    bits of a Bloom filter over identifiers
     index    per block: u16 length of its first key, the key, u64 offset, u32 length, u64 ids before the block
@@ -21,13 +21,14 @@ the order of the text's hash.  A document larger than a block has a block of its
 from __future__ import annotations
 
 import bisect
-import re
 import struct
 import uuid
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -41,13 +42,15 @@ FOOTER = struct.Struct("<7Q8s")
 BLOCK_BYTES = 1 << 16
 RESTART = 16
 BLOOM_BITS, BLOOM_HASHES = 10, 7
-MEMO = 300_000
+#: Words that a worker remembers; beyond that it starts afresh.
+MEMO = 600_000
+#: Bytes of text that are split at once.
+SLICE_BYTES = 8 << 20
 END_ID = 1
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
-_WORD = re.compile(r"[ \n\t\r]+")
-_RUNS = re.compile(r"[a-z]+|[^a-z]+")
-_words: dict[str, dict[str, bytes]] = {}
-_runs: dict[str, dict[str, bytes]] = {}
+_MARKS = r"([a-z])([.,;:!?*#$%&])"
+_memos: dict[str, dict[str, bytes]] = {}
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -144,6 +147,7 @@ class ShardWriter:
     def _flush(self) -> None:
         if self.inside:
             body = b"".join(self.parts) + struct.pack(f"<{len(self.restarts)}II", *self.restarts, len(self.restarts))
+            body = _ZSTD.compress(body, asbytes=True) + struct.pack("<I", len(body))
             body += struct.pack("<I", zlib.crc32(body))
             self.index.append((self.first, self.offset, len(body), self.block_ids))
             self._write(body)
@@ -193,8 +197,9 @@ class Shard:
         raw = self.file.read_at(n, at)
         if zlib.crc32(raw[:-4]) != struct.unpack("<I", raw[-4:])[0]:
             raise ValueError("a block is damaged")
-        count = struct.unpack("<I", raw[-8:-4])[0]
-        return raw[: -8 - 4 * count], list(struct.unpack_from(f"<{count}I", raw, len(raw) - 8 - 4 * count))
+        raw = _ZSTD.decompress(raw[:-8], struct.unpack("<I", raw[-8:-4])[0], asbytes=True)
+        count = struct.unpack("<I", raw[-4:])[0]
+        return raw[: -4 - 4 * count], list(struct.unpack_from(f"<{count}I", raw, len(raw) - 4 - 4 * count))
 
     @staticmethod
     def _entries(body: bytes, at: int):
@@ -235,25 +240,47 @@ class Shard:
 # Encoding ------------------------------------------------------------------------------------------------------------
 
 
-def encode(path: str, texts: list[str | None]) -> list[bytes]:
-    """Ids of whole texts as little-endian u32.  The word vocabulary's pre-tokenizer drops white space and splits
-    there, so words are encoded once each and remembered; an ASCII word without an apostrophe or the start of a special
-    token is split further, between letters and others."""
-    t = tokenizer(path)
-    words, runs = _words.setdefault(path, {}), _runs.setdefault(path, {})
-    if len(words) > MEMO:
-        words.clear()
-    if len(runs) > MEMO:
-        runs.clear()
-    cut = [_WORD.split(x) if x else [] for x in texts]
-    new = set().union(*cut) - words.keys()
-    parts = {w: _RUNS.findall(w.lower()) if w.isascii() and "'" not in w and "<|" not in w else [w] for w in new}
-    for some in by_bytes(list(set().union(*parts.values()) - runs.keys())):
-        for x, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            runs[x] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-    for w, own in parts.items():
-        words[w] = b"".join(map(runs.__getitem__, own))
-    return [b"".join(map(words.__getitem__, own)) for own in cut]
+def encode(path: str, texts: pa.Array) -> list[bytes]:
+    """Ids of whole texts (null: none) as little-endian u32.
+
+    The word vocabulary's normaliser lowers letters, and its pre-tokenizer drops white space and splits there, and
+    between an ASCII letter and the marks of ``_MARKS``.  So words are split off in Arrow, each distinct one is encoded
+    once and remembered, and the ids of a batch are gathered by word number.  A text with the start of a special token
+    goes to the library whole, since lowering could make one.
+    """
+    t, memo = tokenizer(path), _memos.setdefault(path, {})
+    texts = pc.fill_null(texts, "")
+    special = pc.match_substring(texts, "<|")
+    out: list[bytes] = []
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, done + SLICE_BYTES)))
+        own = pc.if_else(special.slice(at, end - at), "", texts.slice(at, end - at))
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(own), pattern=_MARKS, replacement=r"\1 \2"))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(memo) > MEMO:
+            memo.clear()
+        for some in by_bytes([x for x in distinct if x not in memo]):
+            for x, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                memo[x] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        values = [memo[x] for x in distinct]
+        flat = np.frombuffer(b"".join(values), "<u4")
+        size = np.array([len(v) // 4 for v in values], np.int64)
+        start = np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        ends = np.cumsum(size[word])
+        total = int(ends[-1]) if len(ends) else 0
+        ids = flat[np.repeat(start[word] - ends + size[word], size[word]) + np.arange(total)].astype("<u4", copy=False)
+        bounds = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        out += [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+        at = end
+    for i in np.nonzero(special.to_numpy(zero_copy_only=False))[0]:
+        e = t.encode(texts[int(i)].as_py(), add_special_tokens=False)
+        out[i] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+    return out
 
 
 def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> DataFrame:
@@ -270,7 +297,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID)
                 ids = batch.column(0).to_pylist()
                 if not out.entries:
                     least = ids[0]
-                for doc_id, value in zip(ids, encode(path, batch.column(1).to_pylist()), strict=True):
+                for doc_id, value in zip(ids, encode(path, batch.column(1)), strict=True):
                     out.add(doc_id, value + end)
                 most = ids[-1]
         if out:
