@@ -1,6 +1,16 @@
-def queries():
-    return {}
+"""All registered queries of the library."""
 
+from __future__ import annotations
 
-def oracle_sql():
-    return {}
+from collections.abc import Callable
+
+from .plans import controls, enrichment, reconciliation, retaining, schemas, seasons  # noqa: F401  they register themselves
+from .plans.registry import ORACLES, QUERIES
+
+
+def queries() -> dict[str, Callable]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
