@@ -351,8 +351,9 @@ def lookup(spark: SparkSession, manifest: DataFrame, ids: DataFrame) -> DataFram
                 out += [(doc_id, v) for v in shards[path].get(doc_id)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["doc_id", "value"])
 
-    m = F.broadcast(manifest.select("path", "least", "most"))
-    hit = ids.select("doc_id").distinct().join(m, F.col("doc_id").between(F.col("least"), F.col("most")))
+    m = F.broadcast(manifest.select("path", "least", "most"))  # null, as the least, stands before all identifiers
+    after = F.col("least").isNull() | (F.col("doc_id") >= F.col("least"))
+    hit = ids.select("doc_id").distinct().join(m, F.when(F.col("doc_id").isNull(), F.col("least").isNull()).otherwise(after & (F.col("doc_id") <= F.col("most"))))
     return hit.select("path", "doc_id").repartition("path").sortWithinPartitions("path").mapInArrow(run, "doc_id long, value binary")
 
 
