@@ -26,13 +26,18 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, short_batches
-from .token_counts import by_bytes
+from .token_counts import by_bytes, gather
 
-MEMO = 300_000
+#: Units that a worker remembers of each kind; beyond that it starts afresh.
+MEMO = 500_000
+#: Characters of text that are cut into units at once.
+SLICE_CHARS = 8 << 20
+MARKS = ",.;:!?*#$%&"
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -61,6 +66,8 @@ class PieceModel:
                 self.out[i] = text[i].replace(SPACE, " ").encode()
         self.out[self.unknown] = " ⁇ ".encode()
         self.widest = max(map(len, text.values()), default=1)
+        after = {b for t in text.values() for a, b in zip(t, t[1:], strict=False) if a.isascii() and a.isalpha()}
+        self.marks = "".join(c for c in MARKS if c not in after)
         chars = np.zeros((len(plain), self.widest), np.uint32)
         for row, i in enumerate(plain):
             chars[row, : len(text[i])] = [ord(c) for c in text[i]]
@@ -131,14 +138,31 @@ def viterbi(m: PieceModel, units: list[str]) -> list[bytes]:
             score = best[:, start] + np.where(row >= 0, m.score[row], m.low if size == 1 else -np.inf)
             better = score > best[:, end]
             best[better, end], back[better, end], piece[better, end] = score[better], size, row[better]
-    out = []
-    for k, unit in enumerate(units):
-        at, ids = width, []
-        while at:
-            row = piece[k, at]
-            ids.append(m.ids[row : row + 1] if row >= 0 else _fallback(m, unit[at - 1]))
-            at -= back[k, at]
-        out.append(np.concatenate(ids[::-1]).astype("<u4").tobytes())
+    at, steps, every = np.full(n, width), [], np.arange(n)
+    while at.any():  # all units go back together, a piece a step
+        steps.append(np.where(at > 0, piece[every, at], -2))
+        at = at - back[every, at]
+    rows = np.stack(steps[::-1], axis=1)
+    return _as_ids(m, rows[rows > -2], (rows > -2).sum(1), lambda k: _spelled(m, units[k], rows[k][rows[k] > -2]))
+
+
+def _spelled(m: PieceModel, unit: str, rows: np.ndarray) -> bytes:
+    """Ids of one unit's pieces, characters that are no piece by their bytes."""
+    ids, at = [], 0
+    for r in rows:
+        size = int(m.size[r]) if r >= 0 else 1
+        ids.append(m.ids[r : r + 1] if r >= 0 else _fallback(m, unit[at]))
+        at += size
+    return np.concatenate(ids).astype("<u4").tobytes()
+
+
+def _as_ids(m: PieceModel, rows: np.ndarray, count: np.ndarray, spell) -> list[bytes]:
+    """Ids of each unit, given the rows of all units' pieces in order; ``spell`` gives those of a unit with other characters."""
+    raw = m.ids[rows].astype("<u4").tobytes()
+    ends = (4 * np.cumsum(count)).tolist()
+    out = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    for k in np.unique(np.repeat(np.arange(len(count)), count)[rows < 0]).tolist():
+        out[k] = spell(k)
     return out
 
 
@@ -183,7 +207,6 @@ def merge(m: PieceModel, units: list[str]) -> list[bytes]:
         score[alive, np.maximum(count[alive] - 1, 0)] = -np.inf
         scored(alive, at - 1)
         scored(alive, at)
-    out = []
     rows = np.repeat(np.arange(n), count)
     firsts = np.concatenate([[0], np.cumsum(count)])
     place = np.arange(len(rows)) - firsts[rows]
@@ -191,30 +214,81 @@ def merge(m: PieceModel, units: list[str]) -> list[bytes]:
     with np.errstate(over="ignore"):
         h = hashes[rows, b] - hashes[rows, a] * powers[np.minimum(b - a, 2 * m.widest)]
     found = m.probe(h, chars[rows], a, b - a)
-    for k, unit in enumerate(units):
-        own = slice(firsts[k], firsts[k + 1])
-        if (found[own] >= 0).all():
-            out.append(m.ids[found[own]].astype("<u4").tobytes())
-        else:
-            ids = [m.ids[r : r + 1] if r >= 0 else _fallback(m, unit[s:e]) for r, s, e in zip(found[own], a[own], b[own], strict=True)]
-            out.append(np.concatenate(ids).astype("<u4").tobytes())
-    return out
-
-
-def encode(path: str, texts: list[str | None], merges: bool = False) -> list[bytes]:
-    """Ids of whole texts as little-endian u32."""
-    m, memo = model(path), _memos.setdefault((path, merges), {})
+    return _as_ids(m, found, count, lambda k: _spelled(m, units[k], found[firsts[k] : firsts[k + 1]]))
+
+
+def units_of(m: PieceModel, texts: pa.Array) -> pa.ListArray:
+    """Texts (no null) cut into units, as strings with U+2581 for spaces; empty strings stand for nothing.
+
+    A border is safe if no piece spans it: before a run of spaces, and between an ASCII letter and those of ``MARKS``
+    that follow a letter in no piece.
+    """
+    own = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+    own = pc.replace_substring_regex(own, pattern="( +)", replacement="\0\\1")
+    if m.marks:
+        own = pc.replace_substring_regex(own, pattern=f"([A-Za-z])([{re.escape(m.marks)}])", replacement="\\1\0\\2")
+    return pc.split_pattern(pc.replace_substring(own, pattern=" ", replacement=SPACE), "\0")
+
+
+def encode_batch(path: str, texts: list[str | None], kinds: tuple[bool, ...]) -> tuple[list[list[bytes]], list[bool]]:
+    """For each of ``kinds`` (whether to merge) the ids of whole texts; and whether the first kind's decode to the text.
+
+    Units are found once, each distinct one is encoded once and remembered together with whether its pieces give its
+    text back; a text whose units all do does so, and any other is decoded as a whole.
+    """
+    m = model(path)
+    memos = [_memos.setdefault((path, k), {}) for k in kinds]
+    plain = ["" if x is None or "\0" in x else x for x in texts]
+    out, back, at = [[] for _ in kinds], [], 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (size < SLICE_CHARS or end == at):
+            size += len(plain[end])
+            end += 1
+        words = units_of(m, pa.array(plain[at:end], pa.string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        for j, (merges, memo) in enumerate(zip(kinds, memos, strict=True)):
+            values = _encoded(m, memo, distinct, merges)
+            out[j] += gather(words, coded, [v[0] for v in values])
+            if not j:
+                good = np.array([v[1] for v in values], bool)[coded.indices.to_numpy()]
+                bad = np.concatenate([[0], np.cumsum(~good)])
+                bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+                back += (bad[bounds[1:]] == bad[bounds[:-1]]).tolist()
+        at = end
+    if kinds[0]:
+        back = [False] * len(texts)
+    for i, x in enumerate(texts):
+        if x and "\0" in x:
+            own = _UNIT.findall(SPACE + x.replace(" ", SPACE))
+            for j, (merges, memo) in enumerate(zip(kinds, memos, strict=True)):
+                out[j][i] = b"".join(v[0] for v in _encoded(m, memo, own, merges))
+            back[i] = False
+        if not back[i] or x and SPACE in x:
+            back[i] = decode(path, out[0][i]) == (x or "")
+    return out, back
+
+
+def _encoded(m: PieceModel, memo: dict, units: list[str], merges: bool) -> list[tuple[bytes, bool]]:
+    """(ids, whether they decode to the unit; not looked at if merged) of each unit."""
     if len(memo) > MEMO:
         memo.clear()
-    cut = [_UNIT.findall(SPACE + x.replace(" ", SPACE)) if x else [] for x in texts]
+    memo[""] = (b"", True)
     by_length: dict[int, list[str]] = {}
-    for u in set().union(*cut) - memo.keys():
+    for u in {u for u in units if u not in memo}:
         by_length.setdefault(len(u), []).append(u)
     run = merge if merges else viterbi
     for own in by_length.values():
         for some in by_bytes(own):
-            memo.update(zip(some, run(m, some), strict=True))
-    return [b"".join(map(memo.__getitem__, own)) for own in cut]
+            for u, ids in zip(some, run(m, some), strict=True):
+                memo[u] = ids, merges or b"".join([m.out[i] for i in np.frombuffer(ids, "<u4").tolist()]) == u.replace(SPACE, " ").encode()
+    return [memo[u] for u in units]
+
+
+def encode(path: str, texts: list[str | None], merges: bool = False) -> list[bytes]:
+    """Ids of whole texts as little-endian u32."""
+    return encode_batch(path, texts, (merges,))[0][0]
 
 
 def decode(path: str, ids: bytes) -> str:
@@ -224,23 +298,22 @@ def decode(path: str, ids: bytes) -> str:
     return text[1:] if text[:1] == " " else text
 
 
-def with_pieces(docs: DataFrame, path: str, into: str) -> DataFrame:
-    """``docs`` with ``into``: struct n, crc (of the ids), back (whether decoding gives the text), merged_n, merged_crc."""
+def with_pieces(docs: DataFrame, path: str, into: str, merges: bool = False) -> DataFrame:
+    """``docs`` with ``into``: struct n, crc (of the ids), back (whether decoding gives the text), and with ``merges``
+    merged_n, merged_crc."""
     short_batches(docs.sparkSession)
 
     def run(batch):
-        texts = batch.to_pylist()
-        best, merged = encode(path, texts), encode(path, texts, merges=True)
-        back = [decode(path, b) == (t or "") for b, t in zip(best, texts, strict=True)]
-        columns = [[len(b) // 4 for b in best], [zlib.crc32(b) for b in best], back, [len(b) // 4 for b in merged], [zlib.crc32(b) for b in merged]]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["n", "crc", "back", "merged_n", "merged_crc"])
-
-    kind = "n long, crc long, back boolean, merged_n long, merged_crc long"
+        ids, back = encode_batch(path, batch.to_pylist(), (False, True) if merges else (False,))
+        columns = [pa.array(c, pa.int64()) for own in ids for c in ([len(b) // 4 for b in own], [zlib.crc32(b) for b in own])]
+        return pa.StructArray.from_arrays([*columns, pa.array(back, pa.bool_())], [*names, "back"])
+
+    names = ["n", "crc", "merged_n", "merged_crc"][: 4 if merges else 2]
+    kind = ", ".join(f"{n} long" for n in names) + ", back boolean"
     return docs.withColumn(into, F.arrow_udf(run, kind, F.ArrowUDFType.SCALAR)(F.col("text")))
 
 
 def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (best total score), round_trip, and bpe_n_tokens, bpe_ids_crc32 (by merges)."""
-    out = with_pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), "p")
+    out = with_pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), "p", merges=True)
     return out.select("doc_id", F.col("p.n").alias("n_tokens"), F.col("p.crc").alias("ids_crc32"), F.col("p.back").alias("round_trip"), F.col("p.merged_n").alias("bpe_n_tokens"), F.col("p.merged_crc").alias("bpe_ids_crc32"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, scratch_path, short_batches
-from .token_counts import by_bytes, tokenizer
+from .token_counts import by_bytes, gather, tokenizer
 
 MAGIC = b"LLSST\x00\x00\x01"
 FOOTER = struct.Struct("<7Q8s")
@@ -266,16 +266,7 @@ def encode(path: str, texts: pa.Array) -> list[bytes]:
         for some in by_bytes([x for x in distinct if x not in memo]):
             for x, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 memo[x] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        values = [memo[x] for x in distinct]
-        flat = np.frombuffer(b"".join(values), "<u4")
-        size = np.array([len(v) // 4 for v in values], np.int64)
-        start = np.cumsum(size) - size
-        word = coded.indices.to_numpy()
-        ends = np.cumsum(size[word])
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(start[word] - ends + size[word], size[word]) + np.arange(total)].astype("<u4", copy=False)
-        bounds = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        out += [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+        out += gather(words, coded, [memo[x] for x in distinct])
         at = end
     for i in np.nonzero(special.to_numpy(zero_copy_only=False))[0]:
         e = t.encode(texts[int(i)].as_py(), add_special_tokens=False)

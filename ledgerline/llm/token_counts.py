@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,6 +67,19 @@ def by_bytes(items: list, most: int = CALL_BYTES):
         yield batch
 
 
+def gather(words: pa.ListArray, coded: pa.DictionaryArray, values: list[bytes]) -> list[bytes]:
+    """The ids (little-endian u32) of each list of words, given those of each distinct word."""
+    flat = np.frombuffer(b"".join(values), "<u4")
+    size = np.array([len(v) // 4 for v in values], np.int64)
+    start = np.cumsum(size) - size
+    word = coded.indices.to_numpy()
+    ends = np.cumsum(size[word])
+    total = int(ends[-1]) if len(ends) else 0
+    ids = flat[np.repeat(start[word] - ends + size[word], size[word]) + np.arange(total)].astype("<u4", copy=False)
+    bounds = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+    return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
 def count_tokens(path: str, texts: list[str | None]) -> list[int]:
     """Tokens of each whole text, as the library counts them."""
     t, memo = tokenizer(path), _memos.setdefault(path, {})
