@@ -7,7 +7,8 @@ bigrams, 2 |A and B| / (|A| + |B|), is ``LEAST`` (0.8) or more.
 Pruning, all exact.  Size: the coefficient bounds |A| between LEAST / (2 - LEAST) and (2 - LEAST) / LEAST times |B|.
 Content: a match shares at least LEAST / (2 - LEAST) of the template's bigrams, so it holds one of any set of
 bigrams larger than the rest; a text that holds none of the template's chosen set is passed over before any unit
-is built.  The chosen sets are the bigrams whose words are longest, as these are rarest.
+is built.  The chosen sets are the bigrams whose words are longest, as these are rarest.  Likewise it holds one of any
+words that are in more bigrams than the rest; a text that holds none of the gate's few words is not even normalised.
 
 Edge cases: a null or empty text matches nothing (license null, dice 0).  Units of fewer than two words have no
 bigram.  Equal coefficients go to the template first in ``TEMPLATES``.  Repeated rows each give a row.
@@ -15,6 +16,7 @@ bigram.  Equal coefficients go to the template first in ``TEMPLATES``.  Repeated
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -118,6 +120,24 @@ def chosen(grams: list[str], least: float) -> list[str]:
     return sorted(grams, key=lambda g: (-min(map(len, g.split())), -len(g), g))[: spare + 1]
 
 
+#: Words that most English texts hold; the gate takes them only where others don't suffice.
+COMMON = "a all and any are as at be but by for from have if in into is it may not of on or other that the this to under use was will with without you your".split()
+
+
+def gate(sets: list[list[str]], least: float) -> list[str]:
+    """Few words, rather long and rare ones, of which a match of any template holds one."""
+    open_ = [set(g) for g in sets]  # bigrams not yet covered
+    due = [int(len(g) - least / (2 - least) * len(g) + 1e-9) + 1 if g else 0 for g in sets]  # so many are still to be
+    words, out = sorted({w for g in sets for b in g for w in b.split()}), []
+    while any(n > 0 for n in due):
+        gain = lambda w: sum(min(n, sum(w in b.split() for b in g)) for g, n in zip(open_, due, strict=True) if n > 0) * (min(len(w), 8) + 2 if w not in COMMON else 1e-3)  # noqa: B023, E731
+        out.append(max(words, key=gain))
+        for i, g in enumerate(open_):
+            hit = {b for b in g if out[-1] in b.split()}
+            open_[i], due[i] = g - hit, due[i] - len(hit)
+    return out
+
+
 def _normal(text: str) -> Column:
     ascii_low = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return F.regexp_replace(ascii_low, r"[^a-z0-9]+", " ")
@@ -142,7 +162,12 @@ def scan(docs: DataFrame, into: str, templates=TEMPLATES, least: float = LEAST)
     every = f"flatten(transform(transform({units}, x -> struct(x.u as u, {grams} as g)), x -> {hits}))"
     order = "(a, b) -> case when a.d <> b.d then int(sign(b.d - a.d)) when a.t <> b.t then a.t - b.t else a.u - b.u end"
     found = f"case when size({into}_c) > 0 then array_sort(filter({every}, m -> m.d >= {least}), {order}) else cast(array() as array<struct<d: double, t: int, u: int>>) end"
-    out = docs.withColumn(norm, F.coalesce(_normal("text"), F.lit(""))).withColumn(f"{into}_c", F.array_compact(F.array(*held)))
+    low_text = f"{into}_l"
+    holds = lambda w: F.col(low_text).contains(w) & (F.lit(True) if len(w) > 4 else F.col("text").rlike(f"(?i)(?<![a-z0-9]){w}(?![a-z0-9])"))
+    passed = functools.reduce(lambda a, b: a | b, [holds(w) for w in gate(sets, least)], F.lit(False))
+    # Other characters that lower() makes ASCII letters only let more texts pass.
+    out = docs.withColumn(low_text, F.lower("text")).withColumn(norm, F.when(passed, _normal("text")).otherwise("")).drop(low_text)
+    out = out.withColumn(f"{into}_c", F.when(F.col(norm) != "", F.array_compact(F.array(*held))).otherwise(F.array().cast("array<int>")))
     return out.withColumn(into, F.expr(found)).drop(norm, f"{into}_c")
 
 
