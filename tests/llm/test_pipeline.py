@@ -1,5 +1,6 @@
 """The pipeline's stages, each against what it must keep."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -55,3 +56,32 @@ def test_masks_stay_masked(spark):
     docs = spark.createDataFrame([(1, "a password=abcdefghijklmnop z AKIA" + "B" * 20)], "doc_id long, text string").withColumn("n_chars", F.length("text"))
     out = secret_scan.masked(docs).first()
     assert out["text"] == "a [assign] z [access]" and out["n_chars"] == len(out["text"])
+
+
+def _edited(rng, words, every):
+    """A copy with every so-manieth word replaced."""
+    return [f"new{rng.randrange(10**9)}" if i % every == every // 2 else w for i, w in enumerate(words)]
+
+
+def test_dedup_finds_edited_copies(spark):
+    """Classes by brute force: five-word shingles, Jaccard similarity 0.8 or more."""
+    rng = random.Random(3)
+    texts = []
+    for size in (40, 100, 200, 500, 1000):
+        for every in (200, 100, 60, 48, 40, 30, 15):
+            words = [f"w{rng.randrange(50_000)}" for _ in range(size)]
+            texts += [words, _edited(rng, words, every), _edited(rng, _edited(rng, words, every), every + 7)]
+    words = [f"w{rng.randrange(50_000)}" for _ in range(300)]
+    texts += [_edited(rng, words, 300 + i % 5) for i in range(80)] + [["one"], ["One"], ["one", "two"], ["two"]]
+    rng.shuffle(texts)
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)], schema)
+    sets = [{tuple(w.lower() for w in t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]) - 1e-9 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    got = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, docs, SF).collect()}
+    assert 60 < len(set(root)) < 130 and got == set(root)
