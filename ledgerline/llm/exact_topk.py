@@ -38,7 +38,7 @@ MARGIN = 1e-6
 
 def quantised(rows: DataFrame) -> DataFrame:
     """(vec_id, v) with v the integers floor(1024 x), as doubles."""
-    return usable(rows, nonzero=False).withColumn("v", F.transform("v", lambda x: F.floor(x * SCALE).cast("double")))
+    return usable(rows, nonzero=False, form=lambda v: F.transform(v, lambda x: F.floor(x * SCALE).cast("double")))
 
 
 def _distances(x: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> np.ndarray:

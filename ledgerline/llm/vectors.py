@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Vectors, and queries, that meet in one group at most (on average, by hash).
 CELL_ROWS = 4096
 #: Rows of the score matrix held at once.
@@ -25,16 +27,18 @@ def matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def usable(rows: DataFrame, nonzero: bool) -> DataFrame:
+def usable(rows: DataFrame, nonzero: bool, form: Callable = lambda v: v) -> DataFrame:
     """(vec_id, v array<double>): no null, empty or non-finite vector, none of another length than the most frequent
-    one; with ``nonzero`` no zero vector.  Repeated rows count once; of several vectors of one vec_id all take part."""
+    one; with ``nonzero`` no zero vector.  v in the form ``form``; rows repeated in it count once, before any block's
+    best are chosen.  Of several vectors of one vec_id all take part.  Written, as it is read repeatedly."""
     v = F.col("embedding").cast("array<double>")
     good = F.coalesce(F.size("v") > 0, F.lit(False)) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     if nonzero:
         good = good & F.exists("v", lambda x: x != 0)
     out = rows.select("vec_id", v.alias("v")).where("vec_id is not null").where(good)
     dims = out.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return out.where(F.size("v") == (dims["d"] if dims else 0))
+    out = out.where(F.size("v") == (dims["d"] if dims else 0))
+    return cut(out.select("vec_id", form(F.col("v")).alias("v")).distinct(), "vectors")
 
 
 def bounded_sample(rows: DataFrame, n: int) -> np.ndarray:

@@ -95,6 +95,18 @@ def test_small_tables(spark, rows, tmp_path):
     assert [i for _, i in result(exact_topk.op8_exact_topk(spark, d)).get(0, [])] == want
 
 
+def test_rows_repeated_more_than_k_times(spark, tmp_path):
+    """Each neighbour counts once and takes one place, in the form that is compared (op8: integers)."""
+    near = [(i, [1.0, i / 100]) for i in range(1, 12)]
+    rows = [(0, [1.0, 0.0]), *near[:1] * 30, *[(2, [1.0, 0.02 + j * 1e-6]) for j in range(20)], *near[2:]]
+    once = [(0, [1.0, 0.0]), *near]
+    got = result(ann.op4_nearest_neighbours(spark, write(spark, [r for r in rows if r[0] != 2] + [near[1]] * 30, tmp_path / "a")))
+    assert [i for _, i in got[0]] == [1, 2, 3, 4, 5]
+    got = result(exact_topk.op8_exact_topk(spark, write(spark, rows, tmp_path / "b")))
+    want = brute([(i, tuple(quantise(np.float32(v)))) for i, v in once], 100, 10, lambda q, x: x @ q)
+    assert {k: [(int(s), i) for s, i in v] for k, v in want.items()} == got
+
+
 def test_sql(spark):
     from ledgerline.llm import entries
 
