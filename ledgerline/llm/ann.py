@@ -4,7 +4,8 @@ Centroids come from a bounded sample, by splitting it in two at the median of it
 small: equal parts, so balanced lists.  Every vector goes to the list of its nearest centroid and, near a border, to
 more (``REPLICAS`` at most, within ``SPREAD`` of the nearest distance, and none that lies nearer to a list already
 chosen than to the vector).  A query finds its nearest centroids by best-first search in an in-memory graph of them,
-and reads the lists within ``RATIO`` of the nearest distance, ``PROBES`` at most.  Candidates get the exact cosine of
+and reads the lists within ``RATIO`` of the nearest distance, at most ``PROBES`` or ``SHARE`` of all lists, whichever
+is more: a fixed number would lose recall as lists grow in number.  Candidates get the exact cosine of
 the original vectors in double precision.
 
 Every row is indexed; only the centroids are fitted on a sample (``SAMPLE`` rows).  Lists of any size are dealt into
@@ -31,7 +32,7 @@ SAMPLE = 16_384
 LIST_ROWS = 128
 MOST_LISTS = 2048
 REPLICAS, SPREAD = 6, 0.25
-RATIO, PROBES = 1.25, 48
+RATIO, PROBES, SHARE = 1.25, 48, 3 / 64
 DEGREE, BEAM = 24, 128
 
 
@@ -74,6 +75,8 @@ class CentroidGraph:
         self.c = centroids
         self.sq = (centroids * centroids).sum(1)
         n = len(centroids)
+        self.probes = max(PROBES, int(n * SHARE))
+        self.beam = max(BEAM, 2 * self.probes)
         far = self.sq[:, None] + self.sq[None, :] - 2 * centroids @ centroids.T
         np.fill_diagonal(far, np.inf)
         near = np.argsort(far, axis=1, kind="stable")[:, : min(DEGREE, n - 1)]
@@ -86,13 +89,13 @@ class CentroidGraph:
         self.links = [np.array(sorted(s), np.int64) for s in links]
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 16)).astype(np.int64))
 
-    def search(self, q: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest centroids found and their squared distances, nearest first."""
         far = lambda ids: (self.sq[ids] - 2 * self.c[ids] @ q + q @ q).tolist()
         seen = set(self.entries.tolist())
         todo = list(zip(far(self.entries), self.entries.tolist(), strict=True))
         heapq.heapify(todo)
-        best = [(-d, i) for d, i in todo]
+        beam, best = self.beam, [(-d, i) for d, i in todo]
         heapq.heapify(best)
         while todo:
             d, i = heapq.heappop(todo)
@@ -112,7 +115,7 @@ class CentroidGraph:
 
     def lists(self, q: np.ndarray) -> np.ndarray:
         ids, d = self.search(q)
-        return ids[np.sqrt(d) <= RATIO * np.sqrt(d[0]) + 1e-12][:PROBES]
+        return ids[np.sqrt(d) <= RATIO * np.sqrt(d[0]) + 1e-12][: self.probes]
 
 
 def assign(c: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

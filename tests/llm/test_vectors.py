@@ -78,6 +78,25 @@ def test_recall_and_scores(spark, base, tmp_path):
     assert hit / (5 * len(want)) >= 0.9
 
 
+def test_recall_at_most_lists():
+    """The index's own steps with the shipped settings, on as many rows as it takes to reach the most lists."""
+    n = ann.MOST_LISTS * ann.LIST_ROWS
+    x = ann.unit(np.random.default_rng(5).standard_normal((n, 64)))
+    c = ann.balanced_centroids(x[: ann.SAMPLE], ann.MOST_LISTS)
+    graph, asked = ann.CentroidGraph(c), range(0, n, n // 200)
+    members = collections.defaultdict(list)
+    for at in range(0, n, 4096):
+        rows, lists = ann.assign(c, x[at : at + 4096])
+        for row, cell in zip((rows + at).tolist(), lists.tolist(), strict=True):
+            members[cell].append(row)
+    hit = 0
+    for i in asked:
+        score = x @ x[i]
+        score[i] = -2
+        hit += len(set(np.argsort(-score)[:5].tolist()) & {r for cell in graph.lists(x[i]).tolist() for r in members[cell]})
+    assert len(c) == ann.MOST_LISTS and hit / (5 * len(asked)) >= 0.9, hit / (5 * len(asked))
+
+
 def test_odd_vectors(spark, base, tmp_path):
     d = write(spark, odd(base[:400]), tmp_path)
     got = result(ann.op4_nearest_neighbours(spark, d))
