@@ -2,13 +2,16 @@
 
 A text is normalised (lower case, every run of other characters than ASCII letters and digits one space).  Its units
 are the whole text and each of its lines.  A unit matches a template if the Dice coefficient of their sets of word
-bigrams, 2 |A and B| / (|A| + |B|), is ``LEAST`` (0.8) or more.
+bigrams, 2 |A and B| / (|A| + |B|), is ``LEAST`` (0.8) or more.  For a template that none of these matches, units are
+also all runs of consecutive words, over line ends, of ``SPANS`` times the template's bigrams; the best that matches
+counts as one match.  So a text or header of several lines is found inside a longer document.
 
 Pruning, all exact.  Size: the coefficient bounds |A| between LEAST / (2 - LEAST) and (2 - LEAST) / LEAST times |B|.
 Content: a match shares at least LEAST / (2 - LEAST) of the template's bigrams, so it holds one of any set of
 bigrams larger than the rest; a text that holds none of the template's chosen set is passed over before any unit
 is built.  The chosen sets are the bigrams whose words are longest, as these are rarest.  Likewise it holds one of any
 words that are in more bigrams than the rest; a text that holds none of the gate's few words is not even normalised.
+Runs are built only around chosen bigrams, in texts that share as many bigrams with the template as a match must.
 
 Edge cases: a null or empty text matches nothing (license null, dice 0).  Units of fewer than two words have no
 bigram.  Equal coefficients go to the template first in ``TEMPLATES``.  Repeated rows each give a row.
@@ -25,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import documents
 
 LEAST = 0.8
+#: Lengths of the runs of words compared, in the template's bigrams: a match has about 2/3 to 3/2 of them.
+SPANS = (0.7, 0.85, 1.0, 1.2, 1.45)
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
@@ -145,7 +150,7 @@ def _normal(text: str) -> Column:
 
 def scan(docs: DataFrame, into: str, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``docs`` with ``into``: array<struct<d, t, u>> of the matches of ``text``: coefficient, template, unit
-    (0 the whole text, n its line n), best first."""
+    (0 the whole text, n its line n, -1 a run of words), best first."""
     norm = f"{into}_n"
     sets = [bigrams(t) for _, t in templates]
     held = [F.when(F.greatest(*[F.col(norm).contains(f"{g}") for g in pick], F.lit(False)), F.lit(i)) if (pick := chosen(s, least)) else F.lit(None).cast("int") for i, s in enumerate(sets)]
@@ -161,14 +166,24 @@ def scan(docs: DataFrame, into: str, templates=TEMPLATES, least: float = LEAST)
     hits = f"transform(filter({into}_c, t -> {bounds}), t -> struct(2.0D * {shared} / (size(x.g) + size(array({lists})[t])) as d, t as t, x.u as u))"
     every = f"flatten(transform(transform({units}, x -> struct(x.u as u, {grams} as g)), x -> {hits}))"
     order = "(a, b) -> case when a.d <> b.d then int(sign(b.d - a.d)) when a.t <> b.t then a.t - b.t else a.u - b.u end"
-    found = f"case when size({into}_c) > 0 then array_sort(filter({every}, m -> m.d >= {least}), {order}) else cast(array() as array<struct<d: double, t: int, u: int>>) end"
+    none = "cast(array() as array<struct<d: double, t: int, u: int>>)"
+    found = f"case when size({into}_c) > 0 then array_sort(filter({every}, m -> m.d >= {least}), {order}) else {none} end"
+    picks = ", ".join(f"split('{'|'.join(chosen(s, least))}', '[|]')" for s in sets)
+    spans = ", ".join(f"array({', '.join(str(max(1, round(len(normal(t).split(' ')[1:]) * f))) for f in SPANS)})" for _, t in templates)
+    sequel = let("w", f"split(trim(BOTH ' ' FROM {norm}), ' ')", "transform(sequence(1, size(w) - 1), j -> concat(w[j - 1], ' ', w[j]))")
+    starts = "array_distinct(flatten(transform(at, p -> sequence(greatest(0, p - s + 1), p))))"
+    dice = let("r", "array_distinct(slice(g, i + 1, s))", f"2.0D * size(array_intersect(r, array({lists})[t])) / (size(r) + size(array({lists})[t]))")
+    best = let("at", f"filter(sequence(0, size(g) - 1), p -> array_contains(array({picks})[t], g[p]))", f"array_max(flatten(transform(array_distinct(array({spans})[t]), s -> transform({starts}, i -> {dice}))))")
+    open_ = f"filter({into}_c, t -> not exists({into}, m -> m.t = t) and size(array_intersect(g, array({lists})[t])) >= size(array({lists})[t]) * {least / (2 - least) - 1e-9})"
+    runs = let("g", sequel, f"filter(transform({open_}, t -> struct({best} as d, t as t, -1 as u)), m -> m.d >= {least})")
+    more = f"case when size({into}_c) > 0 then array_sort(concat({into}, {runs}), {order}) else {none} end"
     low_text = f"{into}_l"
     holds = lambda w: F.col(low_text).contains(w) & (F.lit(True) if len(w) > 4 else F.col("text").rlike(f"(?i)(?<![a-z0-9]){w}(?![a-z0-9])"))
     passed = functools.reduce(lambda a, b: a | b, [holds(w) for w in gate(sets, least)], F.lit(False))
     # Other characters that lower() makes ASCII letters only let more texts pass.
     out = docs.withColumn(low_text, F.lower("text")).withColumn(norm, F.when(passed, _normal("text")).otherwise("")).drop(low_text)
     out = out.withColumn(f"{into}_c", F.when(F.col(norm) != "", F.array_compact(F.array(*held))).otherwise(F.array().cast("array<int>")))
-    return out.withColumn(into, F.expr(found)).drop(norm, f"{into}_c")
+    return out.withColumn(into, F.expr(found)).withColumn(into, F.expr(more)).drop(norm, f"{into}_c")
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -322,3 +322,17 @@ def test_near_pairs_are_whole(spark, bucket, tau):
         for b in own[i + 1 :]:
             if (a ^ b).bit_count() <= tau:
                 assert find(a) == find(b)
+
+
+def test_licenses_inside_longer_documents(spark):
+    """A text of several lines is found among other words, also if edited; other words alone match nothing."""
+    long = {n: t for n, t in reversed(license_scan.TEMPLATES) if "\n" in t}
+    other = lambda n: " ".join(f"other{i}" + ("\n" if i % 12 == 11 else "") for i in range(n))
+    edited = lambda t: "\n".join(t.replace("software", "program", 1).split("\n")[:-1]) + " by someone named here"
+    rows = [(name, f"{other(a)}\n{text}\n{other(b)}") for name, t in long.items() for a, b in ((100, 0), (50, 50), (0, 400)) for text in (t, t.upper())]
+    rows += [("MIT", f"{other(200)}\n{edited(long['MIT'])}\n{other(200)}"), (None, other(600)), (None, other(50) + "\n".join(long["MIT"].split("\n")[:2]) + other(50))]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    names = [n for n, _ in license_scan.TEMPLATES]
+    for r in license_scan.scan(docs, "found").collect():
+        found = r["found"]
+        assert (names[found[0]["t"]] if found else None) == rows[r["doc_id"]][0], rows[r["doc_id"]]
