@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from .plans import controls, enrichment, reconciliation, retaining, schemas, seasons  # noqa: F401  they register themselves
+from .plans import controls, enrichment, reconciliation, retaining, schemas, seasons, writing  # noqa: F401  they register themselves
 from .plans.registry import ORACLES, QUERIES
 
 

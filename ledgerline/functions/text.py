@@ -44,6 +44,11 @@ def checkpoint_file(g: Column) -> Column:
     return F.concat(F.lit("checkpoints-"), checkpoint_slug(g), F.lit(".json"))
 
 
+def is_checkpoint(f: Column) -> Column:
+    """Whether a path ends in a checkpoint's file name; a filter on a listing of paths lists them."""
+    return f.rlike(r"(^|/)checkpoints-[^/]*\.json$")
+
+
 def checkpoint_group(f: Column) -> Column:
     """The slug in a checkpoint's file name, or null."""
     x = F.regexp_extract(f, r"^checkpoints-(.*)\.json$", 1)
@@ -54,9 +59,18 @@ def target_index(prefix: str, group: Column) -> Column:
     return F.concat(F.lit(prefix + "-"), group_slug(group))
 
 
-def other_version(name: Column) -> Column:
-    """The other of a stream's two versions; -v2 if the name has none."""
-    return F.when(name.endswith("-v1"), F.regexp_replace(name, "-v1$", "-v2")).when(name.endswith("-v2"), F.regexp_replace(name, "-v2$", "-v1")).otherwise(F.concat(name, F.lit("-v2")))
+def stable_alias(prefix: str, group: Column) -> Column:
+    """The name under which readers find a group's stream, whatever its version."""
+    return target_index(prefix, group)
+
+
+def version_of(alias: Column, version: str) -> Column:
+    return F.concat(alias, F.lit(f"-{version}"))
+
+
+def other_version(name: Column, alias: Column | None = None) -> Column:
+    """The other of a stream's two versions; the alias's -v2 if the name has none."""
+    return F.when(name.endswith("-v1"), F.regexp_replace(name, "-v1$", "-v2")).when(name.endswith("-v2"), F.regexp_replace(name, "-v2$", "-v1")).otherwise(version_of(name if alias is None else alias, "v2"))
 
 
 def segment_date_ms(name: Column) -> Column:
@@ -65,6 +79,20 @@ def segment_date_ms(name: Column) -> Column:
     return F.unix_millis(d)
 
 
+def index_date_ms(name: Column, prefix: str) -> Column:
+    """UTC midnight of the date in an index's name ``prefix-yyyy.MM.dd``, or null."""
+    d = F.regexp_extract(F.when(name.startswith(prefix + "-"), F.substr(name, F.lit(len(prefix) + 2))), r"^(\d{4}\.\d{2}\.\d{2})$", 1)
+    return F.unix_millis(F.try_to_timestamp(d, F.lit("yyyy.MM.dd")))
+
+
+#: Field names of the store.
+RESERVED = ("_id", "_index", "_type", "_source", "_score", "_routing", "_version", "_seq_no", "_primary_term")
+
+
+def is_reserved(key: Column) -> Column:
+    return key.isin(*RESERVED)
+
+
 def name_before_dash(name: Column) -> Column:
     """A name without what follows its last dash."""
     return F.regexp_replace(name, "-[^-]*$", "")
@@ -79,7 +107,18 @@ def snippet(body: Column, n: int = 500) -> Column:
 
 
 def day_start(ms: Column) -> Column:
-    return F.expr("0") + ms - F.pmod(ms, F.lit(DAY_MS))
+    return ms - F.pmod(ms, F.lit(DAY_MS))
+
+
+def previous_day(ms: Column) -> tuple[Column, Column]:
+    """The UTC day before that of ``ms``, as a half-open range."""
+    return day_start(ms) - DAY_MS, day_start(ms)
+
+
+def day_range(now_ms: Column, days_ago: Column) -> tuple[Column, Column]:
+    """The UTC day so many days before that of ``now_ms``, as a half-open range."""
+    start = day_start(now_ms) - days_ago * F.lit(DAY_MS)
+    return start, start + DAY_MS
 
 
 def events_per_second(n: Column, ms: Column) -> Column:

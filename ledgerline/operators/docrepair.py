@@ -31,12 +31,12 @@ def action(kind: Column) -> Column:
     return F.coalesce(m[kind], F.lit("fallback"))
 
 
-def failed_items(responses: DataFrame, batch: int) -> DataFrame:
-    """(position, status, type, reason) of the items of a bulk response (json) that failed."""
+def failed_items(responses: DataFrame, batch: int, by: list[str] | None = None) -> DataFrame:
+    """(by, position, status, type, reason) of the items of bulk responses (by, json) that failed."""
     item = "struct<status: int, error: struct<type: string, reason: string>>"
-    items = F.from_json("json", f"struct<items: array<map<string, {item}>>>")["items"]
-    each = responses.select(F.posexplode(items).alias("position", "item")).select("position", F.map_values("item")[0].alias("i"))
-    return each.where((F.col("i.status") >= 400) & (F.col("position") < batch)).select("position", F.col("i.status").alias("status"), F.col("i.error.type").alias("type"), F.col("i.error.reason").alias("reason"))
+    items, key = F.from_json("json", f"struct<items: array<map<string, {item}>>>")["items"], by or []
+    each = responses.select(*key, F.posexplode(items).alias("position", "item")).select(*key, "position", F.map_values("item")[0].alias("i"))
+    return each.where((F.col("i.status") >= 400) & (F.col("position") < batch)).select(*key, "position", F.col("i.status").alias("status"), F.col("i.error.type").alias("type"), F.col("i.error.reason").alias("reason"))
 
 
 def fallback(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from ..functions import jsonnorm, text
 
 
+def tagged(raw: DataFrame) -> DataFrame:
+    """``raw`` (message, ...) with the tags that ``enrich`` gives, without rewriting the JSON; events without text are dropped."""
+    clean = raw.withColumn("message", text.clean_message(F.col("message"))).where("message <> ''")
+    json = F.coalesce(jsonnorm.is_json(F.when(F.col("message").rlike(r"^[\{\[]"), F.col("message"))), F.lit(False))
+    return clean.withColumn("tags", F.array(F.when(json, "json_parsed").otherwise("not_json_message"), F.lit("sync"), F.lit("synced")))
+
+
 def enrich(raw: DataFrame, parse_json: bool = True) -> DataFrame:
     """Documents of ``raw`` (id, timestamp_ms, message, log_group); events without text are dropped.
 

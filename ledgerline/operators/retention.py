@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import DAY_MS, segment_date_ms
+from ..sources.state import merge_watermarks
 
 LEAST_LONG = -(1 << 63)
 
@@ -36,7 +37,7 @@ def delete_until(candidates: DataFrame, deficit_bytes: int) -> DataFrame:
 
 def clamp(windows: DataFrame, watermarks: DataFrame) -> DataFrame:
     """``windows`` (stable, start_ms, end_ms) cut to what is still supported; those wholly before go."""
-    j = windows.join(F.broadcast(watermarks), "stable", "left").where("watermark_ms is null or end_ms > watermark_ms")
+    j = windows.join(watermarks, "stable", "left").where("watermark_ms is null or end_ms > watermark_ms")
     return j.select("stable", F.greatest("start_ms", "watermark_ms").alias("start_ms"), "end_ms")
 
 
@@ -59,16 +60,33 @@ def segment_bounds(rows: DataFrame) -> DataFrame:
 
 def overlapping(bounds: DataFrame, windows: DataFrame) -> DataFrame:
     """Segments that meet a window (both ends count); windows are few."""
-    return bounds.join(F.broadcast(windows), (F.col("max_ts") >= F.col("s")) & (F.col("min_ts") <= F.col("e")))
+    return bounds.join(windows, (F.col("max_ts") >= F.col("s")) & (F.col("min_ts") <= F.col("e")))
 
 
 def within(bounds: DataFrame, windows: DataFrame) -> DataFrame:
-    return bounds.join(F.broadcast(windows), (F.col("min_ts") >= F.col("s")) & (F.col("max_ts") <= F.col("e")))
+    return bounds.join(windows, (F.col("min_ts") >= F.col("s")) & (F.col("max_ts") <= F.col("e")))
 
 
-def hygiene(indices: DataFrame) -> DataFrame:
-    """Indices to drop: temporary copies, and empty ones in bad health."""
-    return indices.where(F.col("index").contains("-temp") | ((F.col("docs") == 0) & (F.col("health") == "red")))
+def advanced(watermarks: DataFrame, deleted: DataFrame) -> DataFrame:
+    """``watermarks`` (stable, watermark_ms) after the ``deleted`` candidates: they only rise."""
+    return merge_watermarks(watermarks, deleted.select(F.col("stable_alias").alias("stable"), "watermark_ms"))
+
+
+def hygiene(indices: DataFrame, prefix: str | None = None) -> DataFrame:
+    """Indices to drop: temporary copies, empty ones in bad health, and the prefix's default index."""
+    default = F.col("index") == f"{prefix}-default" if prefix else F.lit(False)
+    return indices.where(default | F.col("index").contains("-temp") | ((F.col("docs") == 0) & (F.col("health") == "red")))
+
+
+def sized(bounds: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``bounds`` (segment, min_ts, max_ts, n) with store_bytes of ``sizes`` (segment, store_bytes), null if unknown."""
+    return bounds.join(sizes.select("segment", "store_bytes"), "segment", "left")
+
+
+def refresh_settings(indices: DataFrame, phase: str, normal: str = "1s") -> DataFrame:
+    """(index, refresh_interval, replicas): off and none while a ``backfill`` runs, back to normal to ``restore``."""
+    off = phase == "backfill"
+    return indices.select("index", F.lit("-1" if off else normal).alias("refresh_interval"), (F.lit(0) if off else F.col("replicas")).cast("int").alias("replicas"))
 
 
 def is_system(index: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import jsonnorm, text
-from ..operators.enrich import enrich
-from ..sources.events import SQL, source, sql_values, values
+from ..operators.enrich import enrich, tagged
+from ..operators.ranges import in_windows
+from ..sources.events import NOW_MS, SQL, source, table, values
 from .registry import query
 
 _STAMP = "strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S') || case when timestamp_ms % 1000 = 0 then '' else printf('.%03d', timestamp_ms % 1000) end || '+00:00'"
@@ -26,8 +28,8 @@ def enrich_events(spark, sf_dir):
 @query(f"""with {SQL} select log_group, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d') as day, tag, count(*)::bigint as n
   from source, (values ('json_parsed'), ('sync'), ('synced')) t(tag) group by all""")
 def tag_counts(spark, sf_dir):
-    docs = enrich(source(spark, sf_dir))
-    return docs.select("log_group", F.col("event_date").cast("string").alias("day"), F.explode("tags").alias("tag")).groupBy("log_group", "day", "tag").agg(F.count("*").alias("n"))
+    docs = tagged(source(spark, sf_dir)).withColumn("day", F.date_format(F.timestamp_millis("timestamp_ms"), "yyyy-MM-dd"))
+    return docs.groupBy("log_group", "day", "tags").agg(F.count("*").alias("n")).select("log_group", "day", F.explode("tags").alias("tag"), "n").groupBy("log_group", "day", "tag").agg(F.sum("n").alias("n"))
 
 
 @query(f"with {SQL} select log_group, timestamp_ms // 86400000 as day, count(*)::bigint as n from source group by all")
@@ -47,55 +49,69 @@ def enrich_non_json(spark, sf_dir):
     return enrich(raw).select(F.col("event.id").alias("id"), F.length("message").cast("long").alias("n"), F.md5(F.col("message").cast("binary")).alias("digest"), F.element_at("tags", 1).alias("tag"))
 
 
-_MESSAGES = [
-    ("text", "Hello world", None),
-    ("json", '{"level":"info","msg":"test"}', '{"level":"info","msg":"test"}'),
-    ("big", '{"bigNum": 9999999999999999}', '{"bignum":"10000000000000000"}'),
-    ("null", '{"key": "value", "nullKey": null}', '{"key":"value"}'),
-    ("nested", '{"outer": {"inner.key": "value"}}', '{"outer":{"inner_key":"value"}}'),
-    ("array", "[1, 2, 3]", '["1","2","3"]'),
-    ("open", '{"unclosed": ', None),
-    ("reserved", '{"_id": "user-id", "_source": "custom"}', '{"id":"user-id","source":"custom"}'),
-    ("mixed", '{"mixed": [1, "two", {"three": 3}]}', '{"mixed":["1","two","{\\"three\\":3}"]}'),
-    ("conflict", '{"id": {"nested": "object"}, "status": [1, 2, 3]}', '{"id":"{\\"nested\\":\\"object\\"}","status":"[1,2,3]"}'),
-    ("scalar", "42", None),
-    ("trailing", '{"a":1} x', None),
-    ("numbers", '{"a":1.0,"b":1e21,"c":1e-7,"d":true}', '{"a":"1","b":"1000000000000000000000","c":"0.0000001","d":true}'),
-    ("deep", '{"a":{"a":{"a":{"a":{"a":{"a":{"a":{"a":1}}}}}}}}', '{"a":{"a":{"a":{"a":{"a":{"a":{"a":"{\\"a\\":1}"}}}}}}}'),
-]
-
-
-@query("select * from " + sql_values("id, parsed", [(i, p) for i, _, p in _MESSAGES]))
-def normalize_vectors(spark, sf_dir):
-    rows = values(spark, "id string, message string", [(i, m) for i, m, _ in _MESSAGES])
-    return rows.select("id", jsonnorm.normalize_json(F.col("message")).alias("parsed"))
-
-
-@query("select * from " + sql_values("id, message, tags", [("t", "Hello world", "not_json_message,sync,synced"), ("cr", "line1\nline2", "not_json_message,sync,synced"), ("j", '{"a":1}', "json_parsed,sync,synced")]))
-def enrich_vectors(spark, sf_dir):
-    rows = [("t", "Hello world"), ("e", "   "), ("cr", "line1\r\nline2\r\n"), ("j", '{"a":1}'), ("n", None)]
-    raw = values(spark, "id string, message string", rows).withColumns({"timestamp_ms": F.lit(1733900000000), "log_group": F.lit("/aws/test-group")})
+_PLAIN = "regexp_replace(regexp_replace({x}::decimal(18, 2)::varchar, '0+$', ''), '\\.$', '')"
+
+
+def _json(spark, sf_dir):
+    """Documents of every shape that is rewritten: numbers, nulls, dotted keys, mixed lists, clashing types, deep objects."""
+    o = table(spark, sf_dir, "orders")
+    form = (
+        '{"Order.Key": %d, "status": {"code": "%s"}, "total": %s, "Created_At": {"day": "%s"}, "none": null, "list": [1, null, "%s", {"b": 2, "a": 1.50}], "_id": "u%d", '
+        '"nest": {"a.b": {"c d": %d}}, "whole": [1, 2.0, 3e2], "flag": true, "format": {"x": 1}, "": 1, "d": {"d": {"d": {"d": {"d": {"d": {"d": {"d": %d}}}}}}}}'
+    )
+    total = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    text_ = F.format_string(form, "o_orderkey", "o_orderstatus", total, F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority", "o_custkey", "o_custkey", "o_custkey")
+    # A third of them is broken: cut off, followed by garbage, or no object.
+    broken = F.when(F.col("o_custkey") % 9 == 0, F.expr("left(j, length(j) - 1)")).when(F.col("o_custkey") % 9 == 1, F.concat("j", F.lit(" x"))).when(F.col("o_custkey") % 9 == 2, F.lit("42")).otherwise(F.col("j"))
+    return o.withColumn("j", text_).select("o_orderkey", "o_custkey", broken.alias("json"))
+
+
+@query(f"""select o_orderkey, case when o_custkey % 9 > 2 then '{{"created_at":"{{\\"day\\":\\"' || strftime(o_orderdate, '%Y-%m-%d') || '\\"}}","d":{{"d":{{"d":{{"d":{{"d":{{"d":{{"d":"{{\\"d\\":' || o_custkey || '}}"}}}}}}}}}}}},"field_":"1","flag":true,"format":"{{\\"x\\":1}}","id":"u' || o_custkey
+  || '","list":["1","' || o_orderpriority || '","{{\\"a\\":1.5,\\"b\\":2}}"],"nest":{{"a_b":{{"c_d":"' || o_custkey || '"}}}},"order_key":"' || o_orderkey || '","status":"{{\\"code\\":\\"' || o_orderstatus || '\\"}}","total":"' || {_PLAIN.format(x="o_totalprice")} || '","whole":["1","2","300"]}}' end as parsed from orders""")
+def normalize_orders(spark, sf_dir):
+    return _json(spark, sf_dir).select("o_orderkey", jsonnorm.normalize_json(F.col("json")).alias("parsed"))
+
+
+@query("""with m as (select c_custkey, case c_custkey % 7 when 0 then '   ' when 1 then chr(160) || c_name || chr(13) || chr(10) when 2 then '[' || c_custkey || ']' when 3 then '{"a":' when 4 then c_name || chr(13) || chr(10) || c_mktsegment || chr(8195) when 5 then null else '{"n": "' || c_name || '"}' end as message, c_name, c_mktsegment from customer)
+  select c_custkey::varchar as id, case c_custkey % 7 when 1 then c_name when 4 then c_name || chr(10) || c_mktsegment else message end as message, case when c_custkey % 7 in (2, 6) then 'json_parsed' else 'not_json_message' end || ',sync,synced' as tags from m where c_custkey % 7 not in (0, 5)""")
+def enrich_odd(spark, sf_dir):
+    k = F.col("c_custkey") % 7
+    message = (
+        F.when(k == 0, "   ").when(k == 1, F.concat(F.lit("\u00a0"), "c_name", F.lit("\r\n"))).when(k == 2, F.concat(F.lit("["), "c_custkey", F.lit("]"))).when(k == 3, '{"a":')
+        .when(k == 4, F.concat("c_name", F.lit("\r\n"), "c_mktsegment", F.lit("\u2003"))).when(k == 5, None).otherwise(F.concat(F.lit('{"n": "'), "c_name", F.lit('"}')))
+    )
+    raw = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), message.alias("message")).withColumns({"timestamp_ms": F.lit(1733900000000), "log_group": F.lit("/aws/test-group")})
     return enrich(raw).select(F.col("event.id").alias("id"), "message", F.array_join("tags", ",").alias("tags"))
 
 
-_FLAT = [
-    ("user", '{"user":{"profile":{"name":"test","age":30}},"simple":"value"}', '{"simple":"value","user":{"profile":"{\\"age\\":30,\\"name\\":\\"test\\"}"}}'),
-    ("items", '{"items":[{"id":1},{"id":2}]}', '{"items":"[{\\"id\\":1},{\\"id\\":2}]"}'),
-    ("tags", '{"tags":["a","b"],"numbers":[1,2]}', '{"numbers":[1,2],"tags":["a","b"]}'),
-]
+@query(f"""with t as (select c_custkey, c_custkey * 7919000000 + case when c_custkey % 2 = 0 then 0 else c_custkey % 1000 end as timestamp_ms from customer)
+  select c_custkey, case when c_custkey % 50 = 0 then '1970-01-01T00:00:00+00:00' else {_STAMP} end as at from t""")
+def event_times(spark, sf_dir):
+    k = F.col("c_custkey")
+    ms = F.when(k % 50 == 0, F.lit(9_000_000_000_000_000) + k).otherwise(k * 7919000000 + F.when(k % 2 == 0, 0).otherwise(k % 1000))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.rfc3339(ms).alias("at"))
 
 
-@query("select * from " + sql_values("id, flat", [(i, f) for i, _, f in _FLAT]))
-def flatten_vectors(spark, sf_dir):
-    return values(spark, "id string, message string", [(i, m) for i, m, _ in _FLAT]).select("id", jsonnorm.flatten_json(F.col("message")).alias("flat"))
+@query("select p_partkey, (case when p_partkey % 2 = 0 then 31000 else 32000 + length('...[truncated]') end)::int as n_chars, (case when p_partkey % 2 = 0 then 31000 else 32000 + length('...[truncated]') end)::int as n_bytes from part")
+def long_strings(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit('{"s":"'), F.repeat(F.lit("x"), F.when(F.col("p_partkey") % 2 == 0, 31_000).otherwise(33_000)), F.lit('"}')).alias("j"))
+    s = F.get_json_object(jsonnorm.normalize_json(F.col("j")), "$.s")
+    return rows.select("p_partkey", F.length(s).alias("n_chars"), F.octet_length(s).alias("n_bytes"))
 
 
-_KEYS = [("validKey123", "validkey123"), ("key.with.dots", "key_with_dots"), ("key@special#chars!", "key_special_chars"), ("123abc", "field_123abc"), ("...", "field_"), ("__a..B--c!", "a_b_c"), ("_id", "id")]
+@query("""select o_orderkey, '{"items":"[{\\"id\\":' || o_custkey || '},3]","list":[[{"a":"{\\"b\\":1}"},2]],"tags":["a","' || o_orderstatus || '"],"user_x":{"name":"' || o_orderpriority || '","profile":"{\\"age\\":' || o_custkey || '}"}}' as flat, '[{"k":"{\\"x\\":' || o_custkey || '}"},1]' as root from orders""")
+def flatten_orders(spark, sf_dir):
+    form = '{"User.X":{"profile":{"age":%d},"name":"%s"},"items":[{"id":%d},3],"tags":["a","%s"],"list":[[{"a":{"b":1}},2]]}'
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.format_string(form, "o_custkey", "o_orderpriority", "o_custkey", "o_orderstatus").alias("j"), F.format_string('[{"k":{"x":%d}},1]', "o_custkey").alias("r"))
+    return rows.select("o_orderkey", jsonnorm.flatten_json(F.col("j")).alias("flat"), jsonnorm.flatten_json(F.col("r")).alias("root"))
 
 
-@query("select * from " + sql_values("k, clean", _KEYS))
-def sanitize_key_vectors(spark, sf_dir):
-    return values(spark, "k string", [(k,) for k, _ in _KEYS]).select("k", text.sanitize_key(F.col("k")).alias("clean"))
+@query("""with k as (select p_partkey, case p_partkey % 5 when 0 then '__' || p_name || '..' when 1 then p_partkey || p_brand when 2 then '...' when 3 then '_id' else 'Ünï ' || p_name || '--' || p_type end as k from part)
+  select p_partkey, case when x = '' or x[1] between '0' and '9' then 'field_' || x else x end as clean, k = '_id' as reserved from (select *, lower(trim(regexp_replace(k, '[^A-Za-z0-9]+', '_', 'g'), '_')) as x from k)""")
+def sanitize_keys(spark, sf_dir):
+    m = F.col("p_partkey") % 5
+    k = F.when(m == 0, F.concat(F.lit("__"), "p_name", F.lit(".."))).when(m == 1, F.concat(F.col("p_partkey").cast("string"), "p_brand")).when(m == 2, "...").when(m == 3, "_id").otherwise(F.concat(F.lit("Ünï "), "p_name", F.lit("--"), "p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.sanitize_key(k).alias("clean"), text.is_reserved(k).alias("reserved"))
 
 
 _SLUG = "coalesce(nullif(trim(lower(regexp_replace(g, '[^A-Za-z0-9]', '-', 'g')), '-'), ''), 'log-group')"
@@ -108,48 +124,68 @@ def log_group_slug(spark, sf_dir):
     return groups.select("g", text.group_slug(F.col("g")).alias("slug"), text.checkpoint_slug(F.col("g")).alias("checkpoint"), text.target_index("myapp", F.col("g")).alias("target"))
 
 
-_NAMES = [(".ds-logs-svc-v1-2025.12.25-000001", 1766620800000, ".ds-logs-svc-v1-2025.12.25"), ("logs-app", None, "logs"), ("plain", None, "plain"), ("x-2025.99.25-000001", None, "x-2025.99.25")]
-
+@query(f"""with g as (select distinct 'logs-' || event_type as g from events), n as (select g, g || v as name from g, (values ('-v1'), ('-v2'), ('')) t(v))
+  select name, case when name like '%-v1' then g || '-v2' when name like '%-v2' then g || '-v1' else g || '-v2' end as next from n""")
+def alias_toggle(spark, sf_dir):
+    g = text.stable_alias("logs", F.replace(F.col("log_group"), F.lit("/app/"), F.lit("")))
+    n = source(spark, sf_dir).select(g.alias("g")).distinct().crossJoin(values(spark, "v string", [("-v1",), ("-v2",), ("",)])).withColumn("name", F.concat("g", "v"))
+    return n.select("name", text.other_version(F.col("name"), F.col("g")).alias("next"))
 
-@query("select * from " + sql_values("name, day_ms, head", _NAMES))
-def segment_name_parts(spark, sf_dir):
-    return values(spark, "name string", [(n,) for n, _, _ in _NAMES]).select("name", text.segment_date_ms(F.col("name")).alias("day_ms"), text.name_before_dash(F.col("name")).alias("head"))
 
+@query("""with f as (select page_id, case page_id % 3 when 0 then 'checkpoints-' || url || '.json' when 1 then 'checkpoints-' || regexp_replace(url, '[^A-Za-z0-9]', '-', 'g') || '.json' else regexp_replace(url, '[^A-Za-z0-9]', '-', 'g') || '.json' end as f, url from pages)
+  select page_id, 'checkpoints-' || regexp_replace(url, '[^A-Za-z0-9]', '-', 'g') || '.json' as path, regexp_matches(f, '(^|/)checkpoints-[^/]*\\.json$') as is_checkpoint, case when page_id % 3 = 1 then regexp_replace(url, '[^A-Za-z0-9]', '-', 'g') end as g from f""")
+def checkpoint_names(spark, sf_dir):
+    m, slug = F.col("page_id") % 3, text.checkpoint_slug(F.col("url"))
+    f = F.when(m == 0, F.concat(F.lit("checkpoints-"), "url", F.lit(".json"))).when(m == 1, F.concat(F.lit("checkpoints-"), slug, F.lit(".json"))).otherwise(F.concat(slug, F.lit(".json")))
+    known = F.when(text.is_checkpoint(f) & (m == 1), text.checkpoint_group(f))
+    return table(spark, sf_dir, "pages").select("page_id", text.checkpoint_file(F.col("url")).alias("path"), text.is_checkpoint(f).alias("is_checkpoint"), known.alias("g"))
 
-_ALIASES = [("logs-a-v1", "logs-a-v2"), ("logs-a-v2", "logs-a-v1"), ("logs-a", "logs-a-v2")]
 
+@query("select page_id, rtrim(url || repeat('/', (page_id % 3)::int), '/') as base, substr(html, 1, 500) as snippet from pages")
+def url_bases(spark, sf_dir):
+    slashes = F.concat("url", F.repeat(F.lit("/"), (F.col("page_id") % 3).cast("int")))
+    return table(spark, sf_dir, "pages").select("page_id", text.url_base(slashes).alias("base"), text.snippet(F.col("html")).alias("snippet"))
 
-@query("select * from " + sql_values("name, next", _ALIASES))
-def alias_toggle(spark, sf_dir):
-    return values(spark, "name string", [(n,) for n, _ in _ALIASES]).select("name", text.other_version(F.col("name")).alias("next"))
 
+#: An order's document: an object a line, each with a list of one object.
+_LINES = "with l as (select l_orderkey, count(distinct l_linenumber) as n from lineitem group by 1)"
 
-_FILES = [("checkpoints--app-x.json", "-app-x", "checkpoints-checkpoints--app-x-json.json"), ("other.json", None, "checkpoints-other-json.json")]
 
+def _order_docs(spark, sf_dir):
+    line = F.format_string('"l%d":{"q":1,"p":[{"k":{"z":2}}]}', "l_linenumber")
+    docs = table(spark, sf_dir, "lineitem").select("l_orderkey", line.alias("x")).distinct().groupBy("l_orderkey").agg(F.concat(F.lit('{"o":{"id":1,'), F.array_join(F.array_sort(F.collect_list("x")), ","), F.lit("}}")).alias("j"))
+    return docs
 
-@query("select * from " + sql_values("f, g, path", _FILES))
-def checkpoint_names(spark, sf_dir):
-    return values(spark, "f string", [(f,) for f, _, _ in _FILES]).select("f", text.checkpoint_group(F.col("f")).alias("g"), text.checkpoint_file(F.col("f")).alias("path"))
 
+@query(f"{_LINES} select l_orderkey, (2 + 5 * n)::bigint as fields, 6::bigint as depth, '1,' || (2 + n) || ',' || (2 + 3 * n) || ',' || (2 + 4 * n) || ',' || (2 + 5 * n) || ',' || (2 + 5 * n) as by_depth from l")
+def field_counts(spark, sf_dir):
+    j = F.col("j")
+    return _order_docs(spark, sf_dir).select("l_orderkey", jsonnorm.count_fields(j).alias("fields"), jsonnorm.json_depth(j).alias("depth"), F.array_join(jsonnorm.fields_by_depth(j).cast("array<string>"), ",").alias("by_depth"))
 
-_WIDE = '{"a":{"x":1,"y":{"z":[{"q":1},{"r":2}]}},"b":2}'
 
+#: A supplier's document has some 600 lines of four paths: too many, until the lines are text.
+_WIDE = "with w as (select l_suppkey, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) as i from lineitem)"
 
-@query("select * from " + sql_values("fields, depth", [(7, 5)]))
-def field_counts(spark, sf_dir):
-    return values(spark, "j string", [(_WIDE,)]).select(jsonnorm.count_fields(F.col("j")).alias("fields"), jsonnorm.json_depth(F.col("j")).alias("depth"))
 
+@query(f"""{_WIDE}, s as (select l_suppkey, count(*) as n, string_agg('"l' || lpad(i::varchar, 5, '0') || '":"{{\\"k\\":' || i || ',\\"q\\":{{\\"a\\":1}}}}"', ',' order by i) as t, string_agg('"l' || lpad(i::varchar, 5, '0') || '":{{"k":' || i || ',"q":"{{\\"a\\":1}}"}}', ',' order by i) as u, string_agg('"l' || lpad(i::varchar, 5, '0') || '":{{"k":' || i || ',"q":{{"a":1}}}}', ',' order by i) as v from w group by 1)
+  select l_suppkey, n::bigint as n, (case when 1 + 4 * n <= 900 then 1 + 4 * n when 1 + 3 * n <= 900 then 1 + 3 * n when 1 + n <= 900 then 1 + n else 1 end)::bigint as fields, case when 1 + n <= 900 then md5('{{"s":{{' || case when 1 + 4 * n <= 900 then v when 1 + 3 * n <= 900 then u else t end || '}}}}') end as digest from s""")
+def reduce_fields(spark, sf_dir):
+    w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    lines = table(spark, sf_dir, "lineitem").withColumn("i", F.row_number().over(w)).select("l_suppkey", F.format_string('"l%05d":{"k":%d,"q":{"a":1}}', "i", "i").alias("x"))
+    docs = lines.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.concat(F.lit('{"s":{'), F.array_join(F.array_sort(F.collect_list("x")), ","), F.lit("}}")).alias("j"))
+    out = docs.select("l_suppkey", "n", jsonnorm.reduce_json(F.col("j")).alias("r"))
+    return out.select("l_suppkey", "n", jsonnorm.count_fields(F.col("r")).alias("fields"), F.when(F.col("n") < 900, F.md5(F.col("r").cast("binary"))).alias("digest"))
 
-@query("select * from " + sql_values("id, fields", [("small", 7), ("wide", 100), ("items", 1)]))
-def reduce_fields_counts(spark, sf_dir):
-    import json
 
-    wide = json.dumps({f"o{i}": {f"f{j}": j for j in range(20)} for i in range(100)})
-    items = json.dumps({"items": [{f"f{i}_{j}": j for j in range(20)} for i in range(100)]})
-    rows = values(spark, "id string, j string", [("small", _WIDE), ("wide", wide), ("items", items)])
-    return rows.select("id", jsonnorm.count_fields(jsonnorm.reduce_json(F.col("j"))).alias("fields"))
+@query(f"with {SQL} select id, (timestamp_ms - timestamp_ms % 86400000)::bigint as day_ms, (timestamp_ms - timestamp_ms % 86400000 - 86400000)::bigint as before_ms from source")
+def day_bounds(spark, sf_dir):
+    start, end = text.previous_day(F.col("timestamp_ms"))
+    return source(spark, sf_dir).select("id", end.alias("day_ms"), start.alias("before_ms"))
 
 
-@query(f"with {SQL} select id, (timestamp_ms - timestamp_ms % 86400000)::bigint as day_ms from source")
-def day_bounds(spark, sf_dir):
-    return source(spark, sf_dir).select("id", text.day_start(F.col("timestamp_ms")).alias("day_ms"))
+@query(f"select i::bigint as days_ago, ({NOW_MS} - i * 86400000)::bigint as s, ({NOW_MS} - (i - 1) * 86400000)::bigint as e, (select count(*) from events where epoch_us(ts) // 1000 >= {NOW_MS} - i * 86400000 and epoch_us(ts) // 1000 < {NOW_MS} - (i - 1) * 86400000)::bigint as n from range(40) t(i)")
+def day_ranges(spark, sf_dir):
+    s, e = text.day_range(F.lit(NOW_MS + 5), F.col("id"))
+    days = spark.range(40).select(F.col("id").alias("days_ago"), s.alias("s"), e.alias("e"))
+    n = in_windows(source(spark, sf_dir).select("timestamp_ms"), days).groupBy("days_ago").agg(F.count("*").alias("n"))
+    return days.join(n, "days_ago", "left").na.fill(0, ["n"])

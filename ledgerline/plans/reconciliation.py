@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import bulk as B
 from ..operators import ranges as R
 from ..operators import reconcile as C
 from ..sources.events import NOW_MS, SQL, source, sql_values, target, values
@@ -17,19 +18,24 @@ _IN = f"timestamp_ms >= {START} and timestamp_ms < {END}"
 
 @query(f"with {SQL} select id, timestamp_ms, message, log_group from source where {_IN}")
 def range_scan(spark, sf_dir):
-    return R.scan(source(spark, sf_dir), START, END)
+    return R.scan(source(spark, sf_dir, START, END), START, END)
+
+
+@query(f"with {SQL} select count(*)::bigint as n from source where timestamp_ms between {START} and {END}")
+def closed_range_count(spark, sf_dir):
+    return source(spark, sf_dir, START, END + 1).where(R.in_closed_range(START, END)).agg(F.count("*").alias("n"))
 
 
 @query(f"with {SQL} select (select count(*) from source where {_IN})::bigint as source_n, (select count(*) from target where {_IN})::bigint as target_n")
 def range_count(spark, sf_dir):
-    a, b = (R.scan(t, START, END).agg(F.count("*").alias(n)) for t, n in ((source(spark, sf_dir), "source_n"), (target(spark, sf_dir), "target_n")))
+    a, b = (R.scan(t, START, END).agg(F.count("*").alias(n)) for t, n in ((source(spark, sf_dir, START, END), "source_n"), (target(spark, sf_dir, START, END), "target_n")))
     return a.crossJoin(b)  # one row each
 
 
 @query(f"""with {SQL} select 'first' as which, id, timestamp_ms from (select * from source where {_IN} order by timestamp_ms, id limit 16)
   union all select 'last', id, timestamp_ms from (select * from source where {_IN} order by timestamp_ms desc, id desc limit 16)""")
 def first_last_ids(spark, sf_dir):
-    s = source(spark, sf_dir)
+    s = source(spark, sf_dir, START, END)
     first, last = R.first_ids(s, START, END, 16), R.last_ids(s, START, END, 16)
     return first.withColumn("which", F.lit("first")).unionByName(last.withColumn("which", F.lit("last")))
 
@@ -39,17 +45,17 @@ _MID = (START + END) // 2
 
 @query(f"with {SQL} select id, timestamp_ms from source where timestamp_ms >= {_MID - 3600000} and timestamp_ms < {_MID + 3600000} order by timestamp_ms, id limit 16")
 def mid_window_ids(spark, sf_dir):
-    return R.first_ids(source(spark, sf_dir), _MID - 3_600_000, _MID + 3_600_000, 16)
+    return R.first_ids(source(spark, sf_dir, _MID - 3_600_000, _MID + 3_600_000), _MID - 3_600_000, _MID + 3_600_000, 16)
 
 
 @query(f"with {SQL} select count(*)::bigint as n from target where {_IN} and id in (select id from (select * from source where {_IN} order by timestamp_ms, id limit 64))")
 def membership_count(spark, sf_dir):
-    return R.membership_count(target(spark, sf_dir), R.first_ids(source(spark, sf_dir), START, END, 64), START, END)
+    return R.membership_count(target(spark, sf_dir, START, END), R.first_ids(source(spark, sf_dir, START, END), START, END, 64), START, END)
 
 
 @query(f"with {SQL} select id, timestamp_ms, message, log_group from target where timestamp_ms > {START} or (timestamp_ms = {START} and id > '5') order by timestamp_ms, id limit 100")
 def keyset_page(spark, sf_dir):
-    return R.page_after(target(spark, sf_dir), (START, "5"), 100)
+    return R.page_after(target(spark, sf_dir, START), (START, "5"), 100)
 
 
 @query(f"with {SQL} select id, timestamp_ms from source where id not in (select id from target)")
@@ -86,7 +92,7 @@ def delete_range(spark, sf_dir):
 
 @query(f"with {SQL} select * from target where id like 'orphan-%' union all select * from source where {_IN}")
 def reindex_window(spark, sf_dir):
-    return R.reindex_window(target(spark, sf_dir).where("id like 'orphan-%'"), source(spark, sf_dir), START, END)
+    return R.reindex_window(target(spark, sf_dir).where("id like 'orphan-%'"), source(spark, sf_dir, START, END), START, END)
 
 
 @query(f"""with {SQL}, a as (select timestamp_ms // {DAY} * {DAY} as start_ms, count(*) as n from source group by 1), b as (select timestamp_ms // {DAY} * {DAY} as start_ms, count(*) as n from target group by 1)
@@ -95,40 +101,64 @@ def window_count_compare(spark, sf_dir):
     return R.window_counts(source(spark, sf_dir), target(spark, sf_dir), DAY)
 
 
-@query(f"""with {SQL}, d as (select unnest(range(30)) as i), w as (select i, {JAN1} + i * {DAY} as s, {JAN1} + (i + 1) * {DAY} as e from d)
-  select i::int as day, coalesce((select string_agg(id, ',' order by timestamp_ms, id) from source where timestamp_ms >= s and timestamp_ms < e), '')
-    = coalesce((select string_agg(id, ',' order by timestamp_ms, id) from target where timestamp_ms >= s and timestamp_ms < e), '') as same from w where i in (1, 2, 3, 19)""")
+_DAYS = f"days as (select {JAN1} + i * {DAY} as s, {JAN1} + (i + 1) * {DAY} as e from range(30) t(i))"
+
+
+def _days(spark, s: str = "s", e: str = "e"):
+    return spark.range(30).select((F.lit(JAN1) + F.col("id") * DAY).alias(s), (F.lit(JAN1) + (F.col("id") + 1) * DAY).alias(e))
+
+
+def _ends(side: str) -> str:
+    return f"""{side}_w as (select timestamp_ms // {DAY} * {DAY} as s, id, row_number() over (partition by timestamp_ms // {DAY} order by timestamp_ms, id) as u, row_number() over (partition by timestamp_ms // {DAY} order by timestamp_ms desc, id desc) as d from {side}),
+  {side}_e as (select s, count(*) as n, coalesce(string_agg(id, ',' order by u) filter (where u <= 64), '') as f, coalesce(string_agg(id, ',' order by u) filter (where d <= 64), '') as l from {side}_w group by s)"""
+
+
+@query(f"""with {SQL}, {_DAYS}, {_ends("source")}, {_ends("target")} select days.s::bigint as s, days.e::bigint as e, coalesce(a.n, 0) = coalesce(b.n, 0) and coalesce(a.f, '') = coalesce(b.f, '') and coalesce(a.l, '') = coalesce(b.l, '') as same
+  from days left join source_e a using (s) left join target_e b on b.s = days.s""")
 def verify_window(spark, sf_dir):
-    s, t = source(spark, sf_dir), target(spark, sf_dir)
-    out = None
-    for i in (1, 2, 3, 19):
-        one = R.same_window(s, t, JAN1 + i * DAY, JAN1 + (i + 1) * DAY).withColumn("day", F.lit(i))
-        out = one if out is None else out.union(one)
-    return out
+    return R.same_windows(source(spark, sf_dir), target(spark, sf_dir), _days(spark))
+
 
+_CHUNKED = f"""b as (select id, timestamp_ms, log_group, level, f, row_number() over (partition by log_group, level order by timestamp_ms, id) - 1 as rn, count(*) over (partition by log_group, level) as len
+    from source, (values ('normal', 4), ('elevated', 2), ('critical', 1)) t(level, f)), c as (select *, least(greatest(len // 100, 1), f) as n from b)"""
 
-@query("select r::bigint as r, (case when r <= 334 then 0 when r <= 667 then 1 else 2 end)::int as chunk from range(1, 1001) t(r)")
+
+@query(f"""with {SQL}, {_CHUNKED} select log_group, level, chunk::int as chunk, count(*)::bigint as n, min(timestamp_ms)::bigint as first_ms from (
+  select *, case when rn < (len % n) * (len // n + 1) then rn // (len // n + 1) else (len % n) + (rn - (len % n) * (len // n + 1)) // (len // n) end as chunk from c) group by all""")
 def batch_chunks(spark, sf_dir):
-    return R.even_chunks(spark.range(1, 1001).withColumnRenamed("id", "r"), ["r"], 3)
+    levels = values(spark, "level string", [("normal",), ("elevated",), ("critical",)])
+    rows = B.chunked(source(spark, sf_dir).crossJoin(levels), ["log_group", "level"], ["timestamp_ms", "id"], F.lit(4), F.col("level"))
+    return rows.groupBy("log_group", "level", "chunk").agg(F.count("*").alias("n"), F.min("timestamp_ms").alias("first_ms"))
+
+
+#: Ranges of any length: from the first to the last event of each user.
+_SPANS = f"spans as (select min(epoch_us(ts) // 1000) as start_ms, max(epoch_us(ts) // 1000) + 1 as end_ms from events where event_id is not null and ts is not null and props is not null group by user_id)"
 
 
-_PARAMS = [(0, 86_400_000), (0, 160), (0, 10), (5, 38)]
+def _spans(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id is not null").select(F.col("event_id").cast("string").alias("id"), "user_id")
+    return source(spark, sf_dir).join(e, "id").groupBy("user_id").agg(F.min("timestamp_ms").alias("start_ms"), (F.max("timestamp_ms") + 1).alias("end_ms")).drop("user_id")
 
 
-@query("select start_ms::bigint as start_ms, end_ms::bigint as end_ms, greatest(1, (end_ms - start_ms) // 16)::bigint as leaf_ms, greatest(1, (end_ms - start_ms) // greatest(1, (end_ms - start_ms) // 16))::bigint as leaves, 16::bigint as sample, greatest(1, (end_ms - start_ms) // 8)::bigint as mid_span_ms from " + sql_values("start_ms, end_ms", _PARAMS))
+@query(f"""with {_SPANS}, p as (select *, greatest(1, (end_ms - start_ms) // 16) as leaf_ms from spans), l as (select *, greatest(1, (end_ms - start_ms) // leaf_ms) as leaves from p)
+  select start_ms::bigint as start_ms, end_ms::bigint as end_ms, leaf_ms::bigint as leaf_ms, leaves::bigint as leaves, greatest(16, leaves // 4)::bigint as sample, greatest(1, (end_ms - start_ms) // 8)::bigint as mid_span_ms from l""")
 def sync_params(spark, sf_dir):
-    out = C.sync_params(values(spark, "start_ms long, end_ms long", _PARAMS))
-    return out.select("start_ms", "end_ms", *[F.col(c).cast("long").alias(c) for c in ("leaf_ms", "leaves", "sample", "mid_span_ms")])
+    return C.sync_params(_spans(spark, sf_dir))
 
 
-def _roots(spark):
-    return spark.range(30).select((F.lit(JAN1) + F.col("id") * DAY).alias("start_ms"), (F.lit(JAN1) + (F.col("id") + 1) * DAY).alias("end_ms"))
+@query(f"""with recursive {_SPANS}, t(root, level, node, s, e, leaf_ms) as (
+  select start_ms, 0, 0::bigint, start_ms, end_ms, greatest(1, (end_ms - start_ms) // 16) from spans
+  union all select root, level + 1, node * 2 + b, case when b = 0 then s else s + (e - s) // 2 end, case when b = 0 then s + (e - s) // 2 else e end, leaf_ms from t, (values (0), (1)) h(b) where e - s > leaf_ms)
+  select root::bigint as root, level::int as level, node::bigint as node, s::bigint as s, e::bigint as e, e - s <= leaf_ms as leaf from t""")
+def bisection_tree(spark, sf_dir):
+    return C.tree(_spans(spark, sf_dir))
 
 
 _TREE = f"""tree as (
   select root, level, node, root + node * ({DAY} // (1 << level)) as s, root + (node + 1) * ({DAY} // (1 << level)) as e
   from (select {JAN1} + i * {DAY} as root from range(30) t(i)), range(5) l(level), range(16) n(node) where node < (1 << level))"""
-_MIDDLE = f"timestamp_ms >= s + ({DAY} >> level) // 2 - ({DAY} >> level) // 16 and timestamp_ms < s + ({DAY} >> level) // 2 + ({DAY} >> level) // 16"
+_HALF = DAY // 16  # half the middle span of a day, at every level
+_MIDDLE = f"timestamp_ms >= greatest(s, s + ({DAY} >> level) // 2 - {_HALF}) and timestamp_ms < least(s + ({DAY} >> level), s + ({DAY} >> level) // 2 + {_HALF})"
 
 
 def _side(name: str) -> str:
@@ -155,9 +185,8 @@ _NODES = f"""{_TREE}, {_side("source")}, {_side("target")}, lost as materialized
 )"""
 
 
-@query(f"with {_TREE} select root::bigint as root, level::int as level, node::bigint as node, s::bigint as s, e::bigint as e from tree")
-def bisection_tree(spark, sf_dir):
-    return C.tree(_roots(spark))
+def _roots(spark):
+    return _days(spark, "start_ms", "end_ms")
 
 
 @query(f"with {SQL}, {_NODES} select root::bigint as root, level::int as level, node::bigint as node, s::bigint as s, e::bigint as e, a::bigint as source_n, b::bigint as target_n, decision, visited from nodes")
@@ -170,30 +199,58 @@ def replace_ranges(spark, sf_dir):
     return C.replace_ranges(C.decisions(source(spark, sf_dir), target(spark, sf_dir), _roots(spark)))
 
 
-_HIT = "select distinct x.id from {side} x join f on x.timestamp_ms >= f.s and x.timestamp_ms < f.e"
+#: The rows of both sides in the ranges r (s, e), what replacing the ranges adds and what it deletes.
+_REPLACED = """a as materialized (select x.*, r.s from source x join r on x.timestamp_ms >= r.s and x.timestamp_ms < r.e), b as materialized (select x.id, r.s from target x join r on x.timestamp_ms >= r.s and x.timestamp_ms < r.e),
+  gone as materialized (select distinct id from b where s in (select s from a where trim(message) <> '') and not exists (select 1 from a where a.s = b.s and a.id = b.id)),
+  new as materialized (select id, timestamp_ms, message, log_group from a where trim(message) <> '' and id not in (select id from target))"""
+_AFTER = "select * from target where id not in (select id from gone) union all select * from new"
 
 
-@query(f"""with {SQL}, {_NODES}, r as materialized (select s, e from nodes where visited and decision like 'replace%'), f as materialized (select r.* from r semi join source x on x.timestamp_ms >= r.s and x.timestamp_ms < r.e),
-  gone as materialized ({_HIT.format(side="target")} anti join source z on z.id = x.id), new as materialized ({_HIT.format(side="source")} anti join target z on z.id = x.id)
-  select t.* from target t anti join gone using (id) union all select x.* from source x semi join new using (id)""")
+@query(f"with {SQL}, {_NODES}, r as materialized (select s, e from nodes where visited and decision like 'replace%'), {_REPLACED} {_AFTER}")
 def full_replace_result(spark, sf_dir):
-    s, t = source(spark, sf_dir), target(spark, sf_dir)
-    return C.full_replace(s, t, C.replace_ranges(C.decisions(s, t, _roots(spark))))
+    return C.reconcile(source(spark, sf_dir), target(spark, sf_dir), _roots(spark))
+
+
+@query(f"""with {SQL}, {_DAYS}, r as materialized (select * from days), {_REPLACED}
+  select s::bigint as s, e::bigint as e, (select count(*) from a where a.s = days.s)::bigint as fetched, (select count(*) from a where a.s = days.s and trim(message) <> '')::bigint as ingested, (select count(*) from a where a.s = days.s and trim(message) = '')::bigint as failed,
+    (select count(*) from a where a.s = days.s and id not in (select id from b where b.s = days.s))::bigint as missing, (select count(*) from b where b.s = days.s and id not in (select id from a where a.s = days.s))::bigint as orphans from days""")
+def replace_counts(spark, sf_dir):
+    return C.replace_counts(source(spark, sf_dir), target(spark, sf_dir), _days(spark))
+
+
+_FLOOR = JAN1 + 20 * DAY + DAY // 3
+
+
+@query(f"""with d as (select {NOW_MS} - i * {DAY} as s, {NOW_MS} - (i - 1) * {DAY} as e, i < 7 as urgent from range(30) t(i)), {SQL}
+  select greatest(s, {_FLOOR})::bigint as s, e::bigint as e, urgent, (select count(*) from source where timestamp_ms >= greatest(s, {_FLOOR}) and timestamp_ms < e)::bigint as n from d where e > {_FLOOR}""")
+def history_days(spark, sf_dir):
+    days = values(spark, "s long, e long, urgent boolean", C.history(NOW_MS, 30, _FLOOR))
+    n = R.in_windows(source(spark, sf_dir, _FLOOR).select("timestamp_ms"), days).groupBy("s").agg(F.count("*").alias("n"))
+    return days.join(n, "s", "left").na.fill(0, ["n"])
+
+
+_HOURLY = f"h as (select s, coalesce(a.n, 0) as a, coalesce(b.n, 0) as b from (select timestamp_ms // 3600000 * 3600000 as s, count(*) as n from source group by 1) a full join (select timestamp_ms // 3600000 * 3600000 as s, count(*) as n from target group by 1) b using (s))"
+_PERCENT = "abs(a - b) * 100 // greatest(a, b)"
 
 
-_LEARN = [(1000, 1050, False, "trust_target"), (1000, 2000, False, "replace"), (1000, 500, False, "replace"), (1000, 500, True, "trust_target"), (500, 1000, True, "replace"), (0, 0, False, "trust_target"), (900, 1200, False, "trust_target"), (900, 1300, False, "replace")]
+def _hourly(spark, sf_dir):
+    return R.window_counts(source(spark, sf_dir), target(spark, sf_dir), 3_600_000)
 
 
-@query("select * from " + sql_values("target_n, source_n, stressed, decision", _LEARN))
+@query(f"""with {SQL}, {_HOURLY} select s::bigint as start_ms, stressed, case when {_PERCENT} <= 25 or (b > a and stressed) then 'trust_target' else 'replace' end as decision from h, (values (true), (false)) t(stressed)""")
 def live_learn_decision(spark, sf_dir):
-    rows = values(spark, "target_n int, source_n int, stressed boolean", [r[:3] for r in _LEARN])
-    return rows.withColumn("decision", C.live_learn(F.col("source_n"), F.col("target_n"), F.col("stressed")))
+    rows = _hourly(spark, sf_dir).crossJoin(values(spark, "stressed boolean", [(True,), (False,)]))
+    return rows.select("start_ms", "stressed", C.live_learn(F.col("source_n"), F.col("target_n"), F.col("stressed")).alias("decision"))
 
 
-_BLEND = [(100, 100, 100.0, 5.0, "normal", "full_replace"), (150, 130, 100.0, 5.0, "normal", "live_learn"), (100, 400, 300.0, 5.0, "critical", "live_learn"), (180, 100, 50.0, 5.0, "normal", "live_learn"), (400, 100, 50.0, 5.0, "normal", "check_integrity")]
+_LEVELS3 = [("normal", 4.0), ("elevated", 2.5), ("critical", 1.5)]
 
 
-@query("select source_n, target_n, expected::double as expected, sd::double as sd, level, decision from " + sql_values("source_n, target_n, expected, sd, level, decision", _BLEND))
+@query(f"""with {SQL}, {_HOURLY}, m as (select s // 3600000 % 24 as hour, round(avg(a), 6) as expected, round(stddev_pop(a), 6) as sd from h group by 1)
+  select s::bigint as start_ms, level, case when abs(a - expected) <= greatest(sigma * sd, 0.1 * expected, 10) then 'full_replace' when {_PERCENT} <= 25 then 'live_learn' when b > a and level <> 'normal' then 'live_learn' when {_PERCENT} <= 50 then 'live_learn' else 'check_integrity' end as decision
+  from h join m on s // 3600000 % 24 = hour, {sql_values("level, sigma", _LEVELS3)}""")
 def blend_decision(spark, sf_dir):
-    rows = values(spark, "source_n int, target_n int, expected double, sd double, level string", [r[:5] for r in _BLEND])
-    return rows.withColumn("decision", C.blend_decision(*[F.col(c) for c in rows.columns]))
+    h = _hourly(spark, sf_dir).withColumn("hour", F.expr("start_ms div 3600000 % 24"))
+    m = h.groupBy("hour").agg(F.round(F.avg("source_n"), 6).alias("expected"), F.round(F.stddev_pop("source_n"), 6).alias("sd"))
+    rows = h.join(m, "hour").crossJoin(values(spark, "level string", [(x,) for x, _ in _LEVELS3]))
+    return rows.select("start_ms", "level", C.blend_decision(F.col("source_n"), F.col("target_n"), F.col("expected"), F.col("sd"), F.col("level")).alias("decision"))
