@@ -2,65 +2,66 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text in one Arrow batch; whole texts travel, so a batch is kept short.
+from ..sources.shared import cut, drop, drop_path, scratch_path, shared_dir  # noqa: F401  used by the operators
+
+#: Rows, and bytes, of one Arrow batch; whole texts travel, so a batch is kept short.
 ARROW_ROWS = 1000
+ARROW_BYTES = 16 << 20
+#: What a remembered entry takes beside its text and value.
+ENTRY_BYTES = 120
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``; a temporary one only where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        sc = spark.sparkContext
-        if not sc._jsc.sc().getCheckpointDir().isDefined():
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
-        base = sc._jsc.sc().getCheckpointDir().get()
-    return base.rstrip("/")
+def short_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:
+    """Bounds an Arrow batch by rows and by bytes (a single text may be larger): the default of 10,000 whole texts could be
+    gigabytes.  The session keeps the smaller bounds: a query is planned lazily, and may be run long after this call."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/ledgerline-{name}-{uuid.uuid4().hex}"
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends, the files outlive any executor.
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
-    Parquet rather than ``checkpoint()``: compressed, column-pruned on re-read, and its size is known to the planner.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def own_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a path in the shared folder, if it is there."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
+def bounded_broadcast(table: DataFrame, limit: int = 32 << 20, row_bytes: int = 64) -> DataFrame:
+    """``table`` with a broadcast hint if ``table.count() * row_bytes`` is within ``limit``, else as it is (a shuffle join)."""
+    return F.broadcast(table) if table.count() * row_bytes <= limit else table
 
-def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bounds the rows of an Arrow batch: the default of 10,000 whole texts could be gigabytes."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
 
+def utf8_size(text: str) -> int:
+    """Bytes of a text in UTF-8."""
+    return len(text) if text.isascii() else len(text.encode())
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
+class Memo(dict):
+    """What a worker remembers, bounded by the bytes of keys and values; beyond them it starts afresh."""
 
-def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.size = most, 0
 
+    def add(self, key, value, size: int) -> None:
+        self[key] = value
+        self.size += size + ENTRY_BYTES
 
-def bounded_broadcast(df: DataFrame, table: DataFrame, limit: int = 32 << 20, row_bytes: int = 64) -> DataFrame:
-    """``table`` with a broadcast hint if ``table.count() * row_bytes`` is within ``limit``, else as it is (a shuffle join)."""
-    return F.broadcast(table) if table.count() * row_bytes <= limit else table
+    def room(self) -> None:
+        """To be called between batches: forgets all once there is too much."""
+        if self.size > self.most:
+            self.clear()
+            self.size = 0
