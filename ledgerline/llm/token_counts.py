@@ -1,14 +1,19 @@
 """Token counts of whole texts, without keeping the ids.
 
 Texts are cut at safe boundaries, where the pre-tokenizer splits whatever stands around; the pieces of a batch that
-are not in the worker's memo go to the library in batches of about equal bytes, and only their lengths are kept.  A
-long text is thus never one unit of work.  A text's count is the sum of its pieces' counts.
+are not in the worker's memo go to the library in batches of about equal bytes (UTF-8), and only their lengths are kept.
+A text's count is the sum of its pieces' counts.
 
-A safe boundary of the byte-level pre-tokenizer: before a space that stands alone between two characters that are not
-white space (the space then begins the next token, and no added token holds a space).
+Safe boundaries of the byte-level pre-tokenizer: before a space that stands alone between two characters that are not
+white space (the space then begins the next token, and no added token holds a space).  A piece of more than ``LONG``
+characters, as texts without spaces give, is cut further: around added tokens; between ASCII letters, digits, marks
+and a line end, whose runs are never one token (not beside an apostrophe, which may join a letter); and between two
+characters whose meeting bytes stand side by side in no entry of the vocabulary, so that no merge can span them.  Only
+a run in which every pair may merge stays whole, and the library takes it in n log n.
 
 Edge cases: a null or empty text has 0 bytes and 0 tokens.  Strings of special tokens inside a text count as the
-library's default has it (one token).  Repeated rows each give a row.
+library's default has it (one token).  Ties cannot arise.  Repeated rows each give a row; an empty table gives none.
+Extra columns are kept; a column called as the result is replaced.
 """
 
 from __future__ import annotations
@@ -22,18 +27,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, short_batches
+from .common import Memo, documents, short_batches, utf8_size
 
 #: Bytes of new pieces that go to the library in one call.
 CALL_BYTES = 1 << 18
-#: Pieces that a worker remembers; beyond that it starts afresh.
-MEMO = 400_000
+#: Bytes of pieces that a worker remembers, and the longest of them in characters.
+MEMO_BYTES, LONGEST_KEPT = 96 << 20, 256
+#: Characters of a piece that is cut further.
+LONG = 512
 LIMIT = 512
 
 _UNSAFE = re.compile(r"\s |[ ]\s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: ASCII marks but the apostrophe.
+_MARK = r"!-&(-/:-@\[-`{-~"
+_RUNS = re.compile(rf"(?<=[A-Za-z])(?=[0-9\n{_MARK}])|(?<=[0-9])(?=[A-Za-z\n{_MARK}])|(?<=[{_MARK}])(?=[A-Za-z0-9\n])")
 _tokenizers: dict[str, object] = {}
-_memos: dict[str, dict] = {}
+_pairs: dict[str, np.ndarray] = {}
+_memos: dict[str, Memo] = {}
 
 
 def tokenizer(path: str):
@@ -54,12 +65,57 @@ def pieces(text: str) -> list[str]:
     return _SAFE.split(text) if _UNSAFE.search(text) else text.split(" ")
 
 
+def _byte_of() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def merging_pairs(path: str) -> np.ndarray:
+    """Whether two bytes stand side by side in some entry of the vocabulary, as a flat table."""
+    if path not in _pairs:
+        byte, out = _byte_of(), np.zeros(1 << 16, bool)
+        for entry in tokenizer(path).get_vocab():
+            own = [byte.get(c) for c in entry]
+            for x, y in zip(own, own[1:], strict=False):
+                if x is not None and y is not None:
+                    out[x << 8 | y] = True
+        _pairs[path] = out
+    return _pairs[path]
+
+
+def _unmerged(path: str, text: str) -> list[str]:
+    """The text cut where no merge can span, not beside an apostrophe or white space."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    start = np.nonzero((raw & 0xC0) != 0x80)[0]  # of each character
+    pair = raw[start[1:] - 1].astype(np.int64) << 8 | raw[start[1:]]
+    first = raw[start]
+    bare = (first[:-1] == 39) | (first[1:] == 39) | np.array([c.isspace() for c in text[:-1]]) | np.array([c.isspace() for c in text[1:]])
+    at = [0, *(np.nonzero(~merging_pairs(path)[pair] & ~bare)[0] + 1).tolist(), len(text)]
+    return [text[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
+def parts(path: str, piece: str) -> list[str]:
+    """A long piece cut at its further safe boundaries."""
+    special = [x.content for x in tokenizer(path).get_added_tokens_decoder().values()]
+    around = re.split("(" + "|".join(map(re.escape, special)) + ")", piece) if special else [piece]
+    out = []
+    for i, own in enumerate(around):
+        if i % 2:
+            out.append(own)
+        elif own:
+            for run in _RUNS.split(own):
+                out += _unmerged(path, run) if len(run) > LONG else [run]
+    return out
+
+
 def by_bytes(items: list, most: int = CALL_BYTES):
-    """Consecutive batches of about ``most`` characters."""
+    """Consecutive batches of about ``most`` bytes in UTF-8."""
     batch, size = [], 0
     for x in items:
         batch.append(x)
-        size += len(x)
+        size += utf8_size(x)
         if size >= most:
             yield batch
             batch, size = [], 0
@@ -80,31 +136,43 @@ def gather(words: pa.ListArray, coded: pa.DictionaryArray, values: list[bytes])
     return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
+def _lengths(path: str, pieces: list[str]) -> list[int]:
+    """Tokens of each piece, encoded in batches of about equal bytes."""
+    t = tokenizer(path)
+    return [len(e.ids) for some in by_bytes(pieces) for e in t.encode_batch_fast(some, add_special_tokens=False)]
+
+
 def count_tokens(path: str, texts: list[str | None]) -> list[int]:
     """Tokens of each whole text, as the library counts them."""
-    t, memo = tokenizer(path), _memos.setdefault(path, {})
+    memo = _memos.setdefault(path, Memo(MEMO_BYTES))
     out = []
     for batch in by_bytes([x or "" for x in texts], 1 << 22):
         cut = [pieces(x) if x else [] for x in batch]
-        if len(memo) > MEMO:
-            memo.clear()
-        new = set()
+        memo.room()
+        # A first piece has no space before it and is kept under a 1-tuple, the others under their text.
+        new, long = set(), {}
         for own in cut:
             if own:
-                if own[0][:1] != " ":
-                    new.add((own[0],))
+                new.add((own[0],))
                 new.update(own[1:])
         new -= memo.keys()
-        # A first piece has no space before it; it is kept under a 1-tuple, the others under their text.
-        for some in by_bytes([x[0] if isinstance(x, tuple) else " " + x for x in new]):
-            for x, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memo[x[1:] if x[:1] == " " else (x,)] = len(e.ids)
+        short = []
+        for x in new:
+            text = x[0] if isinstance(x, tuple) else " " + x
+            if len(text) > LONG:
+                long[x] = sum(_lengths(path, parts(path, text)))
+            else:
+                short.append((x, text))
+        for (x, text), n in zip(short, _lengths(path, [text for _, text in short]), strict=True):
+            if len(text) <= LONGEST_KEPT:
+                memo.add(x, n, utf8_size(text))
+            else:
+                long[x] = n
+        memo.update(long)
         for own in cut:
-            if not own:
-                out.append(0)
-                continue
-            head = memo[(own[0],)] if own[0][:1] != " " else len(t.encode(own[0], add_special_tokens=False).ids)
-            out.append(head + sum(map(memo.__getitem__, own[1:])))
+            out.append(memo[(own[0],)] + sum(map(memo.__getitem__, own[1:])) if own else 0)
+        for x in long:
+            del memo[x]
     return out
 
 
