@@ -10,16 +10,23 @@ maximum over the piece lengths keeps the best score and a backpointer.  A charac
 any piece and becomes its UTF-8 bytes' pieces (byte fallback).  The result is the segmentation of largest total
 score, ties to the shorter last piece.
 
+A unit of more than ``LONG`` characters, as texts without spaces give, is cut where its two neighbours stand side by
+side in no piece, which changes neither result; what is still long is probed for all places at once and goes forward
+place by place, with plain maxima over the few pieces that end there, in time in proportion to its length.
+
 A BPE model's own encoder applies merges by rank instead of maximising the total.  ``encode(..., merges=True)`` does
 that in the same batched way: units of equal length advance together, the best adjacent pair of each is merged, the
-leftmost first on ties, until no pair is a piece.  These are the library's ids.
+leftmost first on ties, until no pair is a piece; a unit that is still long after the cuts keeps its pairs in a heap.
+These are the library's ids.
 
 Edge cases: a null or empty text has no ids.  U+2581 itself decodes to a space, as in the library.  Ids decode to
-bytes, which join to the text with the first space dropped.  Repeated rows each give a row.
+bytes, which join to the text with the first space dropped.  Repeated rows each give a row, an empty table none.  Extra
+columns are kept; a column called as the result is replaced.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 
@@ -30,11 +37,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, short_batches
+from .common import ENTRY_BYTES, Memo, documents, short_batches, utf8_size
 from .token_counts import by_bytes, gather
 
-#: Units that a worker remembers of each kind; beyond that it starts afresh.
-MEMO = 500_000
+#: Bytes of units and ids that a worker remembers of each kind, and the longest unit of them in characters.
+MEMO_BYTES, LONGEST_KEPT = 96 << 20, 256
+#: Characters of a unit that is cut further.
+LONG = 96
 #: Characters of text that are cut into units at once.
 SLICE_CHARS = 8 << 20
 MARKS = ",.;:!?*#$%&"
@@ -42,7 +51,7 @@ SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _models: dict[str, "PieceModel"] = {}
-_memos: dict[tuple[str, bool], dict[str, bytes]] = {}
+_memos: dict[tuple[str, bool], Memo] = {}
 
 
 class PieceModel:
@@ -68,6 +77,8 @@ class PieceModel:
         self.widest = max(map(len, text.values()), default=1)
         after = {b for t in text.values() for a, b in zip(t, t[1:], strict=False) if a.isascii() and a.isalpha()}
         self.marks = "".join(c for c in MARKS if c not in after)
+        pairs = {ord(a) << 32 | ord(b) for t in text.values() for a, b in zip(t, t[1:], strict=False)}
+        self.pairs = np.array(sorted(pairs), np.uint64)
         chars = np.zeros((len(plain), self.widest), np.uint32)
         for row, i in enumerate(plain):
             chars[row, : len(text[i])] = [ord(c) for c in text[i]]
@@ -102,6 +113,42 @@ class PieceModel:
         out[hit[ok]] = at[hit[ok]]
         return out
 
+    def cut(self, unit: str) -> list[str]:
+        """A unit cut between neighbours that stand side by side in no piece."""
+        c = np.frombuffer(unit.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        pair = c[:-1] << np.uint64(32) | c[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), max(0, len(self.pairs) - 1))
+        apart = np.nonzero(self.pairs[at] != pair)[0] + 1 if len(self.pairs) else np.arange(1, len(unit))
+        at = [0, *apart.tolist(), len(unit)]
+        return [unit[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def places(self, unit: str) -> list[list[tuple[int, int]]]:
+        """For each end in a unit, the (size, row) of the pieces that end there, the shortest first."""
+        chars = np.frombuffer(unit.encode("utf-32-le"), np.uint32)
+        hashes, out = self.long_hashes(chars), [[] for _ in range(len(unit) + 1)]
+        for size in range(1, min(self.widest, len(unit)) + 1):
+            start = np.arange(len(unit) - size + 1)
+            with np.errstate(over="ignore"):
+                h = hashes[size:] - hashes[: len(start)] * self.powers[size]
+            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+            hit = np.nonzero((self.keys[at] == h) & (self.size[at] == size))[0]
+            same = np.ones(len(hit), bool)
+            for j in range(size):
+                same &= chars[hit + j] == self.chars[at[hit], j]
+            for i, row in zip((hit[same] + size).tolist(), at[hit[same]].tolist(), strict=True):
+                out[i].append((size, row))
+        return out
+
+    @staticmethod
+    def long_hashes(chars: np.ndarray) -> np.ndarray:
+        out, h, base, mask = np.zeros(len(chars) + 1, np.uint64), 0, int(_BASE), (1 << 64) - 1
+        values = []
+        for c in chars.tolist():
+            h = (h * base + c + 1) & mask
+            values.append(h)
+        out[1:] = values
+        return out
+
     def prefix_hashes(self, chars: np.ndarray) -> np.ndarray:
         out = np.zeros((len(chars), chars.shape[1] + 1), np.uint64)
         with np.errstate(over="ignore"):
@@ -146,6 +193,59 @@ def viterbi(m: PieceModel, units: list[str]) -> list[bytes]:
     return _as_ids(m, rows[rows > -2], (rows > -2).sum(1), lambda k: _spelled(m, units[k], rows[k][rows[k] > -2]))
 
 
+def viterbi_long(m: PieceModel, unit: str) -> bytes:
+    """Ids of one long unit, by the best total score."""
+    score, low = m.score.tolist(), m.low
+    best, back = [0.0] * (len(unit) + 1), [(1, -1)] * (len(unit) + 1)
+    for end, own in enumerate(m.places(unit)):
+        if end:
+            top, step = -np.inf, (1, -1)
+            if not own or own[0][0] > 1:  # a character that is no piece
+                top = best[end - 1] + low
+            for size, row in own:
+                s = best[end - size] + score[row]
+                if s > top:
+                    top, step = s, (size, row)
+            best[end], back[end] = top, step
+    rows, at = [], len(unit)
+    while at:
+        size, row = back[at]
+        rows.append(row)
+        at -= size
+    return _spelled(m, unit, np.array(rows[::-1]))
+
+
+def merge_long(m: PieceModel, unit: str) -> bytes:
+    """Ids of one long unit, by merging the best adjacent pair again and again: a heap of pairs over linked symbols."""
+    row_of = {(end - size, size): row for end, own in enumerate(m.places(unit)) for size, row in own}
+    score, n = m.score.tolist(), len(unit)
+    size, after, before = [1] * n, list(range(1, n + 1)), list(range(-1, n - 1))
+    heap: list[tuple[float, int, int]] = []
+
+    def offer(a: int) -> None:
+        b = after[a] if a >= 0 else n
+        if b < n and (row := row_of.get((a, size[a] + size[b]))) is not None:
+            heapq.heappush(heap, (-score[row], a, size[a] + size[b]))
+
+    for i in range(n - 1):
+        offer(i)
+    while heap:
+        _, a, both = heapq.heappop(heap)
+        b = after[a] if size[a] else n
+        if b >= n or size[a] + size[b] != both:
+            continue  # one of the two has changed since
+        size[a], size[b], after[a] = both, 0, after[b]
+        if after[a] < n:
+            before[after[a]] = a
+        offer(before[a])
+        offer(a)
+    rows, at = [], 0
+    while at < n:
+        rows.append(row_of.get((at, size[at]), -1))
+        at = after[at]
+    return _spelled(m, unit, np.array(rows))
+
+
 def _spelled(m: PieceModel, unit: str, rows: np.ndarray) -> bytes:
     """Ids of one unit's pieces, characters that are no piece by their bytes."""
     ids, at = [], 0
@@ -237,7 +337,7 @@ def encode_batch(path: str, texts: list[str | None], kinds: tuple[bool, ...]) ->
     text back; a text whose units all do does so, and any other is decoded as a whole.
     """
     m = model(path)
-    memos = [_memos.setdefault((path, k), {}) for k in kinds]
+    memos = [_memos.setdefault((path, k), Memo(MEMO_BYTES)) for k in kinds]
     plain = ["" if x is None or "\0" in x else x for x in texts]
     out, back, at = [[] for _ in kinds], [], 0
     while at < len(texts):
@@ -270,20 +370,42 @@ def encode_batch(path: str, texts: list[str | None], kinds: tuple[bool, ...]) ->
     return out, back
 
 
-def _encoded(m: PieceModel, memo: dict, units: list[str], merges: bool) -> list[tuple[bytes, bool]]:
+def _encoded(m: PieceModel, memo: Memo, units: list[str], merges: bool) -> list[tuple[bytes, bool]]:
     """(ids, whether they decode to the unit; not looked at if merged) of each unit."""
-    if len(memo) > MEMO:
-        memo.clear()
+    memo.room()
     memo[""] = (b"", True)
+    new, long = {u for u in units if u not in memo}, {}
+    for u in [u for u in new if len(u) > LONG]:
+        new.remove(u)
+        long[u] = m.cut(u)
+        new.update(x for x in long[u] if x not in memo)
+    run, run_long, fresh = (merge, merge_long, {}) if merges else (viterbi, viterbi_long, {})
     by_length: dict[int, list[str]] = {}
-    for u in {u for u in units if u not in memo}:
-        by_length.setdefault(len(u), []).append(u)
-    run = merge if merges else viterbi
+    for u in new:
+        if len(u) <= LONG:
+            by_length.setdefault(len(u), []).append(u)
+        else:
+            fresh[u] = run_long(m, u)
     for own in by_length.values():
         for some in by_bytes(own):
-            for u, ids in zip(some, run(m, some), strict=True):
-                memo[u] = ids, merges or b"".join([m.out[i] for i in np.frombuffer(ids, "<u4").tolist()]) == u.replace(SPACE, " ").encode()
-    return [memo[u] for u in units]
+            fresh.update(zip(some, run(m, some), strict=True))
+    whole = lambda u, ids: merges or b"".join([m.out[i] for i in np.frombuffer(ids, "<u4").tolist()]) == u.replace(SPACE, " ").encode()
+    passing = []
+    for u, ids in fresh.items():
+        memo.add(u, (ids, whole(u, ids)), utf8_size(u) + len(ids))
+        if len(u) > LONGEST_KEPT:
+            passing.append(u)
+    for u, own in long.items():
+        values = [memo[x] for x in own]
+        if u not in fresh:
+            memo[u] = b"".join(v[0] for v in values), all(v[1] for v in values)
+            passing.append(u)
+    out = [memo[u] for u in units]
+    for u in passing:
+        if u in memo:
+            memo.size -= utf8_size(u) + len(memo[u][0]) + ENTRY_BYTES if u in fresh else 0
+            del memo[u]
+    return out
 
 
 def encode(path: str, texts: list[str | None], merges: bool = False) -> list[bytes]:
