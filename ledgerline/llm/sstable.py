@@ -12,15 +12,19 @@ unsigned 32-bit.  Layout::
 
 Shards are ranges of identifiers, so the shard of an identifier, its block and its restart point are all found by
 binary search.  A writer streams block after block and moves the finished file into place under a name of its own, so
-a task that runs again, or twice, never leaves half a shard in the manifest.
+a task that runs again, or twice, never leaves half a shard in the manifest.  A shard is closed at ``SHARD_BYTES`` or
+``SHARD_ENTRIES``, so neither a file nor what its writer and readers hold grows with the data; the number of tasks
+follows the size of the input as the planner knows it.
 
 Edge cases: a null text holds the end id alone.  An empty table has no shard.  Repeated identifiers are all kept, in
-the order of the text's hash.  A document larger than a block has a block of its own.
+the order of the text's hash; they may go on in the next shard.  A document larger than a block has a block of its own.
+Extra columns play no part.
 """
 
 from __future__ import annotations
 
 import bisect
+import re
 import struct
 import uuid
 import zlib
@@ -34,7 +38,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, scratch_path, short_batches
+from .common import Memo, documents, scratch_path, short_batches, utf8_size
 from .token_counts import by_bytes, gather, tokenizer
 
 MAGIC = b"LLSST\x00\x00\x01"
@@ -42,20 +46,31 @@ FOOTER = struct.Struct("<7Q8s")
 BLOCK_BYTES = 1 << 16
 RESTART = 16
 BLOOM_BITS, BLOOM_HASHES = 10, 7
-#: Words that a worker remembers; beyond that it starts afresh.
-MEMO = 600_000
+#: Where a shard is closed.
+SHARD_BYTES, SHARD_ENTRIES = 256 << 20, 2_000_000
+#: Input, as the planner sees it, that one task writes.
+TASK_BYTES = 128 << 20
+#: Bytes of words and ids that a worker remembers, and the longest word of them in characters.
+MEMO_BYTES, LONGEST_KEPT = 128 << 20, 256
 #: Bytes of text that are split at once.
 SLICE_BYTES = 8 << 20
 END_ID = 1
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 _MARKS = r"([a-z])([.,;:!?*#$%&])"
-_memos: dict[str, dict[str, bytes]] = {}
+_memos: dict[str, Memo] = {}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and host, as Spark itself would resolve it: a bare path lies on its default file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a URI or local path, and the path in it."""
     if "://" in path or path.startswith("file:"):
+        path = re.sub("^s3[an]:", "s3:", path)
         return fs.FileSystem.from_uri(path if "://" in path else "file://" + path[5:])
     return fs.LocalFileSystem(), path
 
@@ -248,7 +263,7 @@ def encode(path: str, texts: pa.Array) -> list[bytes]:
     once and remembered, and the ids of a batch are gathered by word number.  A text with the start of a special token
     goes to the library whole, since lowering could make one.
     """
-    t, memo = tokenizer(path), _memos.setdefault(path, {})
+    t, memo = tokenizer(path), _memos.setdefault(path, Memo(MEMO_BYTES))
     texts = pc.fill_null(texts, "")
     special = pc.match_substring(texts, "<|")
     out: list[bytes] = []
@@ -261,12 +276,16 @@ def encode(path: str, texts: pa.Array) -> list[bytes]:
         words = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(own), pattern=_MARKS, replacement=r"\1 \2"))
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(memo) > MEMO:
-            memo.clear()
+        memo.room()
+        long = {}
         for some in by_bytes([x for x in distinct if x not in memo]):
             for x, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memo[x] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        out += gather(words, coded, [memo[x] for x in distinct])
+                ids = struct.pack(f"<{len(e.ids)}I", *e.ids)
+                if len(x) <= LONGEST_KEPT:
+                    memo.add(x, ids, utf8_size(x) + len(ids))
+                else:
+                    long[x] = ids
+        out += gather(words, coded, [long[x] if x in long else memo[x] for x in distinct])
         at = end
     for i in np.nonzero(special.to_numpy(zero_copy_only=False))[0]:
         e = t.encode(texts[int(i)].as_py(), add_special_tokens=False)
@@ -274,33 +293,41 @@ def encode(path: str, texts: pa.Array) -> list[bytes]:
     return out
 
 
-def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
     """Writes the ids of ``docs`` (doc_id long, text string) as shards in ``folder``, ranges of doc_id; the manifest."""
     spark = docs.sparkSession
     short_batches(spark)
     end = struct.pack("<I", end_id)
 
+    schema = pa.schema([("path", pa.string()), ("least", pa.int64()), ("most", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("part", pa.int64())])
+    folder = qualified(spark, folder)
+
     def run(batches):
-        out = None
+        out, least, part = None, None, 0
         for batch in batches:
-            if batch.num_rows:
-                out = out or ShardWriter(folder, uuid.uuid4().hex)
-                ids = batch.column(0).to_pylist()
-                if not out.entries:
-                    least = ids[0]
-                for doc_id, value in zip(ids, encode(path, batch.column(1)), strict=True):
-                    out.add(doc_id, value + end)
-                most = ids[-1]
+            if not batch.num_rows:
+                continue
+            for doc_id, value in zip(batch.column(0).to_pylist(), encode(path, batch.column(1)), strict=True):
+                if out and (out.offset + out.size >= shard_bytes or out.entries >= shard_entries):
+                    out.close()
+                    yield pa.RecordBatch.from_pylist([{"path": out.uri, "least": least, "most": most, "docs": out.entries, "ids": out.ids, "part": part}], schema=schema)
+                    out, part = None, part + 1
+                if not out:
+                    out, least = ShardWriter(folder, uuid.uuid4().hex), doc_id
+                out.add(doc_id, value + end)
+                most = doc_id
         if out:
             out.close()
-            yield pa.RecordBatch.from_pylist([{"path": out.uri, "least": least, "most": most, "docs": out.entries, "ids": out.ids}], schema=pa.schema([("path", pa.string()), ("least", pa.int64()), ("most", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64())]))
+            yield pa.RecordBatch.from_pylist([{"path": out.uri, "least": least, "most": most, "docs": out.entries, "ids": out.ids, "part": part}], schema=schema)
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # A plan of unknown size counts as boundless; then the session's setting has to do.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES if size < 1 << 60 else 0)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     ranged = keyed.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "h").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h").select("doc_id", "text")
-    manifest = ranged.mapInArrow(run, "path string, least long, most long, docs long, ids long")
+    manifest = ranged.mapInArrow(run, "path string, least long, most long, docs long, ids long, part long").withColumn("task", F.spark_partition_id())
     rows = manifest.collect()  # one row a shard; shards that no row names belong to attempts that were lost
-    rows.sort(key=lambda r: (r["least"] is not None, r["least"] or 0, r["most"] is not None, r["most"] or 0))
+    rows.sort(key=lambda r: (r["task"], r["part"]))  # ranges in order of tasks, shards in order within a task
     start, out = 0, []
     for i, r in enumerate(rows):
         out.append((i, r["path"], r["least"], r["most"], r["docs"], r["ids"], start))
@@ -329,23 +356,36 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
 
 def lookup(spark: SparkSession, manifest: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, value) for the identifiers in ``ids``: a range join picks the shard, the shard's index the block."""
+    """(doc_id, value) for the identifiers in ``ids``: binary search in the manifest (a row a shard, sent to every task)
+    picks the shards, their index the block."""
+    rows = sorted((r["shard"], r["path"], identifier_key(r["least"]), identifier_key(r["most"])) for r in manifest.select("shard", "path", "least", "most").collect())
+    shards = spark.sparkContext.broadcast(tuple([r[i] for r in rows] for i in (1, 2, 3)))
+
+    def route(batches):
+        paths, least, most = shards.value
+        for batch in batches:
+            out = []
+            for doc_id in batch.column(0).to_pylist():
+                key = identifier_key(doc_id)
+                i = bisect.bisect_left(most, key)
+                while i < len(paths) and least[i] <= key:  # a repeated identifier may go on in the next shard
+                    out.append((paths[i], doc_id))
+                    i += 1
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())], names=["path", "doc_id"])
 
     def run(batches):
-        shards: dict[str, Shard] = {}
+        open_: dict[str, Shard] = {}
         for batch in batches:
             out = []
             for path, doc_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if path not in shards:
-                    shards.clear()
-                    shards[path] = Shard(path)
-                out += [(doc_id, v) for v in shards[path].get(doc_id)]
+                if path not in open_:
+                    open_.clear()
+                    open_[path] = Shard(path)
+                out += [(doc_id, v) for v in open_[path].get(doc_id)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["doc_id", "value"])
 
-    m = F.broadcast(manifest.select("path", "least", "most"))  # null, as the least, stands before all identifiers
-    after = F.col("least").isNull() | (F.col("doc_id") >= F.col("least"))
-    hit = ids.select("doc_id").distinct().join(m, F.when(F.col("doc_id").isNull(), F.col("least").isNull()).otherwise(after & (F.col("doc_id") <= F.col("most"))))
-    return hit.select("path", "doc_id").repartition("path").sortWithinPartitions("path").mapInArrow(run, "doc_id long, value binary")
+    hit = ids.select("doc_id").distinct().mapInArrow(route, "path string, doc_id long")
+    return hit.repartition("path").sortWithinPartitions("path").mapInArrow(run, "doc_id long, value binary")
 
 
 def op3_token_shards(spark, sf_dir: str) -> DataFrame:
