@@ -6,14 +6,16 @@ more (``REPLICAS`` at most, within ``SPREAD`` of the nearest distance, and none
 chosen than to the vector).  A query finds its nearest centroids by best-first search in an in-memory graph of them,
 and reads the lists within ``RATIO`` of the nearest distance, at most ``PROBES`` or ``SHARE`` of all lists, whichever
 is more: a fixed number would lose recall as lists grow in number.  Candidates get the exact cosine of
-the original vectors in double precision.
+the original vectors in double precision, and are ranked by it.
 
-Every row is indexed; only the centroids are fitted on a sample (``SAMPLE`` rows).  Lists of any size are dealt into
-blocks (``vectors.meet``), so a very common vector fills no task.
+The number of lists follows that of the rows, a list for ``LIST_ROWS``, up to ``MOST_LISTS``: so many centroids fit a
+worker's memory with their graph.  Beyond two million rows lists grow instead.  Every row is indexed; only the centroids
+are fitted on a sample (``SAMPLE`` rows a list).  Lists of any size are dealt into blocks (``vectors.meet``), so a very
+common vector fills no task.
 
 Edge cases: null, empty, zero or non-finite vectors, null ids and vectors of another length than most take no part.
-Ties go to the smaller vec_id; scores that differ by rounding alone (under 5e-13) count as ties while candidates are
-selected.  Fewer candidates than k give them all.  A row repeated as a whole counts once, and never as its own neighbour.
+Ties go to the smaller vec_id.  Fewer candidates than k give them all, an empty table none.  A row repeated as a whole
+counts once, and never as its own neighbour.  Extra columns play no part.
 """
 
 from __future__ import annotations
@@ -23,14 +25,19 @@ import heapq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import cut, embeddings, short_batches
-from .vectors import best_of, bounded_sample, matrix, meet, top_per_query, usable
+from .vectors import best_of, bounded_sample, first_of, matrix, meet, top_per_query, usable
 
-SAMPLE = 16_384
+#: Rows of the sample for each list.
+SAMPLE = 8
+LEAST_SAMPLE = 16_384
 LIST_ROWS = 128
-MOST_LISTS = 2048
+MOST_LISTS = 16_384
+#: Vectors, or centroids, that are compared with all centroids at once.
+ROWS = 1024
+#: How far a product of unit vectors may be from their exact cosine.
+SLACK = 1e-9
 REPLICAS, SPREAD = 6, 0.25
 RATIO, PROBES, SHARE = 1.25, 48, 3 / 64
 DEGREE, BEAM = 24, 128
@@ -61,7 +68,8 @@ def balanced_centroids(x: np.ndarray, n: int) -> np.ndarray:
     means = np.array([p.mean(0) for p in parts])
     # A few rounds of nearest-centroid means sharpen the parts without moving their sizes far.
     for _ in range(3):
-        near = np.argmax(x @ means.T - (means * means).sum(1) / 2, axis=1)
+        half = (means * means).sum(1) / 2
+        near = np.concatenate([np.argmax(x[at : at + ROWS] @ means.T - half, axis=1) for at in range(0, len(x), ROWS)])
         sums, counts = np.zeros_like(means), np.bincount(near, minlength=len(means))
         np.add.at(sums, near, x)
         means = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], means)
@@ -77,9 +85,13 @@ class CentroidGraph:
         n = len(centroids)
         self.probes = max(PROBES, int(n * SHARE))
         self.beam = max(BEAM, 2 * self.probes)
-        far = self.sq[:, None] + self.sq[None, :] - 2 * centroids @ centroids.T
-        np.fill_diagonal(far, np.inf)
-        near = np.argsort(far, axis=1, kind="stable")[:, : min(DEGREE, n - 1)]
+        near, degree = np.zeros((n, min(DEGREE, n - 1)), np.int64), min(DEGREE, n - 1)
+        for at in range(0, n if degree else 0, ROWS):
+            far = self.sq[None, :] - 2 * centroids[at : at + ROWS] @ centroids.T
+            far[np.arange(len(far)), at + np.arange(len(far))] = np.inf
+            few = np.argpartition(far, degree - 1, axis=1)[:, :degree]
+            order = np.lexsort((few, np.take_along_axis(far, few, 1)), axis=1)
+            near[at : at + ROWS] = np.take_along_axis(few, order, 1)
         links: list[set[int]] = [set(map(int, row)) for row in near]
         for i, row in enumerate(near):
             for j in row:
@@ -120,6 +132,9 @@ class CentroidGraph:
 
 def assign(c: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, list) pairs: the nearest centroid of every vector, and the replicas near borders."""
+    if len(x) > ROWS:
+        parts = [assign(c, x[at : at + ROWS]) for at in range(0, len(x), ROWS)]
+        return np.concatenate([r + i * ROWS for i, (r, _) in enumerate(parts)]), np.concatenate([p for _, p in parts])
     sq = (c * c).sum(1)
     d = np.sqrt(np.maximum(0, sq[None, :] - 2 * x @ c.T + (x * x).sum(1)[:, None]))
     m = min(REPLICAS * 2, len(c))
@@ -129,11 +144,12 @@ def assign(c: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     near, dist = np.take_along_axis(near, order, 1), np.take_along_axis(dist, order, 1)
     taken = np.zeros(near.shape, bool)
     taken[:, 0] = True
-    between = np.sqrt(np.maximum(0, sq[:, None] + sq[None, :] - 2 * c @ c.T))
+    own = c[near]  # the few centroids that each vector may go to
+    between = np.sqrt(np.maximum(0, sq[near][:, :, None] + sq[near][:, None, :] - 2 * own @ own.transpose(0, 2, 1)))
     for j in range(1, m):
         ok = (dist[:, j] <= (1 + SPREAD) * dist[:, 0]) & (taken.sum(1) < REPLICAS)
         for i in range(j):
-            ok &= ~taken[:, i] | (between[near[:, i], near[:, j]] > 0.5 * dist[:, j])
+            ok &= ~taken[:, i] | (between[:, i, j] > 0.5 * dist[:, j])
         taken[:, j] = ok
     rows, cols = np.nonzero(taken)
     return rows, near[rows, cols]
@@ -142,9 +158,10 @@ def assign(c: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def cosine_search(k: int):
     def search(qids, q, ids, x):
         qu, xu = unit(q), unit(x)
-        rows, cols = best_of(np.round(qu @ xu.T, 12), ids, qids, k)
+        rows, cols = best_of(qu @ xu.T, ids, qids, k, SLACK)
         a, b = q[rows], x[cols]
         score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
+        rows, cols, score = first_of(rows, cols, score, ids, k)
         return qids[rows], ids[cols], score
 
     return search
@@ -154,11 +171,12 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found in ``rows`` for each of ``queries`` (both vec_id, v)."""
     spark = rows.sparkSession
     short_batches(spark, 4096)
-    sample = bounded_sample(rows, SAMPLE)
-    if not len(sample):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n = rows.count()
-    centroids = balanced_centroids(unit(sample), int(max(1, min(MOST_LISTS, n // LIST_ROWS, len(sample) // 8 or 1))))
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    wanted = max(1, min(MOST_LISTS, n // LIST_ROWS))
+    sample = bounded_sample(rows, max(LEAST_SAMPLE, SAMPLE * wanted))
+    centroids = balanced_centroids(unit(sample), min(wanted, max(1, len(sample) // SAMPLE)))
     shared = spark.sparkContext.broadcast(centroids)
 
     def index(batches):

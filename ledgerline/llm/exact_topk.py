@@ -12,8 +12,9 @@ scale against rounding.  The pivots and the annulus borders come from a bounded
 indexed, and the annuli's least and largest distances are those of all rows.
 
 Edge cases: vectors null, empty or holding null or non-finite components, null ids and vectors of another length than
-most take no part; zero vectors do.  Ties go to the smaller vec_id.  Fewer candidates than k give them all.  A row
-repeated as a whole counts once, and never as its own neighbour.  Inner products must fit 53 bits.
+most take no part; zero vectors do.  Ties go to the smaller vec_id.  Fewer candidates than k give them all, an empty table
+none.  A row repeated as a whole counts once, and never as its own neighbour.  Extra columns play no part.  Inner
+products must fit 53 bits: larger vectors raise an error, since their order could not be told exactly.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ ANNULUS_ROWS = 1024
 #: Annuli that each wave adds for a query; the last takes all that the radius leaves.
 WAVES = (2, 8, None)
 MARGIN = 1e-6
+MOST_SQUARE = 1 << 53
 
 
 def quantised(rows: DataFrame) -> DataFrame:
@@ -65,6 +67,8 @@ def top_inner(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     if not top["n"]:
         return empty
     m2, n = float(top["m"]), int(top["n"])
+    if m2 >= MOST_SQUARE:  # no inner product exceeds the largest square of a norm
+        raise ValueError(f"vectors of a squared norm of {m2:g} have inner products beyond {MOST_SQUARE}")
     sample = bounded_sample(rows, SAMPLE)
     lift = lambda x: np.sqrt(np.maximum(0, m2 - (x * x).sum(1)))
     lifted = np.concatenate([sample, lift(sample)[:, None]], axis=1)

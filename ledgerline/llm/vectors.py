@@ -62,8 +62,7 @@ def meet(postings: DataFrame, probes: DataFrame, search: Callable, score_type: s
     def blocks(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias(name))
 
-    deal = blocks(postings, "nv").join(blocks(probes, "nq"), "cell")
-    deal = F.broadcast(deal)  # a row a cell; the index bounds its cells
+    deal = F.broadcast(blocks(postings, "nv").join(blocks(probes, "nq"), "cell"))  # a row a cell: 16,384 lists, or the annuli of a sample, at most
     spread = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = postings.join(deal, "cell").withColumn("bv", spread("vec_id", "nv")).withColumn("bq", every("nq")).select("cell", "bv", "bq", "vec_id", "v")
@@ -84,16 +83,21 @@ def meet(postings: DataFrame, probes: DataFrame, search: Callable, score_type: s
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, HITS.format(score_type))
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of each row's ``k`` best, ties to smaller ids, without the query's own; all where fewer."""
+def best_of(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, slack: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of each row's ``k`` best, ties to smaller ids, without the query's own; all where fewer.  With
+    ``slack``, all that are within it of the k-th, in no order."""
     scores = np.where(ids[None, :] == own[:, None], -np.inf, scores)
     if scores.shape[1] > 4 * k:
-        floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
+        floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k] - (slack or 0)
     else:
         floor = np.full(len(scores), -np.inf)
     rows, cols = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
-    order = np.lexsort((ids[cols], -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    first = np.searchsorted(rows, np.arange(len(scores)))
-    keep = np.arange(len(rows)) - first[rows] < k
-    return rows[keep], cols[keep]
+    return (rows, cols) if slack is not None else first_of(rows, cols, scores[rows, cols], ids, k)[:2]
+
+
+def first_of(rows: np.ndarray, cols: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best of each row, ties to smaller ids."""
+    order = np.lexsort((ids[cols], -score, rows))
+    rows, cols, score = rows[order], cols[order], score[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[keep], cols[keep], score[keep]
