@@ -14,7 +14,9 @@ words that are in more bigrams than the rest; a text that holds none of the gate
 Runs are built only around chosen bigrams, in texts that share as many bigrams with the template as a match must.
 
 Edge cases: a null or empty text matches nothing (license null, dice 0).  Units of fewer than two words have no
-bigram.  Equal coefficients go to the template first in ``TEMPLATES``.  Repeated rows each give a row.
+bigram.  Equal coefficients go to the template first in ``TEMPLATES``, then to the first unit.  Texts of any length are
+searched whole.  Repeated rows each give a row, an empty table none.  Extra columns are kept whatever their names; one
+called as the result is replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, own_name
 
 LEAST = 0.8
 #: Lengths of the runs of words compared, in the template's bigrams: a match has about 2/3 to 3/2 of them.
@@ -86,7 +88,44 @@ _UNLICENSE = """This is free and unencumbered software released into the public
 publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
 purpose, commercial or non-commercial, and by any means."""
 
-#: (license, template): full texts, file headers, and one-line notices.
+_LGPL3 = """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General
+Public License for more details. You should have received a copy of the GNU Lesser General Public License along with
+this library. If not, see https://www.gnu.org/licenses/."""
+_AGPL3 = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General
+Public License for more details. You should have received a copy of the GNU Affero General Public License along with
+this program. If not, see https://www.gnu.org/licenses/."""
+_GPL2 = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any
+later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for
+more details. You should have received a copy of the GNU General Public License along with this program; if not, write
+to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."""
+_EPL2 = """This program and the accompanying materials are made available under the terms of the Eclipse Public License
+2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"""
+_CC0 = """To the extent possible under law, the author has dedicated all copyright and related and neighboring rights
+to this software to the public domain worldwide. This software is distributed without any warranty. You should have
+received a copy of the CC0 Public Domain Dedication along with this software. If not, see
+http://creativecommons.org/publicdomain/zero/1.0/."""
+_BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to
+whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this
+entire statement, including the above license grant, this restriction and the following disclaimer, must be included
+in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or
+derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+THE SOFTWARE."""
+
+#: (license, template), fixed values: full texts where they are short, else file headers, and one-line notices.
 TEMPLATES = (
     ("MIT", _MIT),
     ("ISC", _ISC),
@@ -97,6 +136,12 @@ TEMPLATES = (
     ("GPL-3.0", _GPL3),
     ("MPL-2.0", _MPL),
     ("Unlicense", _UNLICENSE),
+    ("LGPL-3.0", _LGPL3),
+    ("AGPL-3.0", _AGPL3),
+    ("GPL-2.0", _GPL2),
+    ("EPL-2.0", _EPL2),
+    ("CC0-1.0", _CC0),
+    ("BSL-1.0", _BOOST),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -131,15 +176,20 @@ COMMON = "a all and any are as at be but by for from have if in into is it may n
 
 def gate(sets: list[list[str]], least: float) -> list[str]:
     """Few words, rather long and rare ones, of which a match of any template holds one."""
-    open_ = [set(g) for g in sets]  # bigrams not yet covered
-    due = [int(len(g) - least / (2 - least) * len(g) + 1e-9) + 1 if g else 0 for g in sets]  # so many are still to be
-    words, out = sorted({w for g in sets for b in g for w in b.split()}), []
+    due = [int(len(g) - least / (2 - least) * len(g) + 1e-9) + 1 if g else 0 for g in sets]  # bigrams still to be covered
+    holders: dict[str, list[set[str]]] = {}  # by word, the bigrams not yet covered that hold it, by template
+    for i, g in enumerate(sets):
+        for b in g:
+            for w in b.split():
+                holders.setdefault(w, [set() for _ in sets])[i].add(b)
+    words, out = sorted(holders), []
+    worth = {w: min(len(w), 8) + 2 if w not in COMMON else 1e-3 for w in words}
     while any(n > 0 for n in due):
-        gain = lambda w: sum(min(n, sum(w in b.split() for b in g)) for g, n in zip(open_, due, strict=True) if n > 0) * (min(len(w), 8) + 2 if w not in COMMON else 1e-3)  # noqa: B023, E731
-        out.append(max(words, key=gain))
-        for i, g in enumerate(open_):
-            hit = {b for b in g if out[-1] in b.split()}
-            open_[i], due[i] = g - hit, due[i] - len(hit)
+        out.append(max(words, key=lambda w: sum(min(n, len(own)) for own, n in zip(holders[w], due, strict=True) if n > 0) * worth[w]))
+        for i, hit in enumerate(map(set, holders[out[-1]])):
+            due[i] -= len(hit)
+            for w in {w for b in hit for w in b.split()}:
+                holders[w][i] -= hit
     return out
 
 
@@ -151,7 +201,7 @@ def _normal(text: str) -> Column:
 def scan(docs: DataFrame, into: str, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``docs`` with ``into``: array<struct<d, t, u>> of the matches of ``text``: coefficient, template, unit
     (0 the whole text, n its line n, -1 a run of words), best first."""
-    norm = f"{into}_n"
+    norm, low_text, cand = (own_name(docs, f"{into}_{x}") for x in "nlc")
     sets = [bigrams(t) for _, t in templates]
     held = [F.when(F.greatest(*[F.col(norm).contains(f"{g}") for g in pick], F.lit(False)), F.lit(i)) if (pick := chosen(s, least)) else F.lit(None).cast("int") for i, s in enumerate(sets)]
     lists = ", ".join(f"split('{'|'.join(s)}', '[|]')" for s in sets)
@@ -163,27 +213,26 @@ def scan(docs: DataFrame, into: str, templates=TEMPLATES, least: float = LEAST)
     units = f"filter(transform(concat(array(struct(0 as u, text as x)), {lines}), y -> struct(y.u as u, {clean('y.x')} as n)), x -> size(split(x.n, ' ')) - 1 >= {max(1, low - 1e-9)})"
     shared = f"size(array_intersect(x.g, array({lists})[t]))"
     bounds = f"size(x.g) between size(array({lists})[t]) * {least / (2 - least) - 1e-9} and size(array({lists})[t]) * {(2 - least) / least + 1e-9}"
-    hits = f"transform(filter({into}_c, t -> {bounds}), t -> struct(2.0D * {shared} / (size(x.g) + size(array({lists})[t])) as d, t as t, x.u as u))"
+    hits = f"transform(filter({cand}, t -> {bounds}), t -> struct(2.0D * {shared} / (size(x.g) + size(array({lists})[t])) as d, t as t, x.u as u))"
     every = f"flatten(transform(transform({units}, x -> struct(x.u as u, {grams} as g)), x -> {hits}))"
     order = "(a, b) -> case when a.d <> b.d then int(sign(b.d - a.d)) when a.t <> b.t then a.t - b.t else a.u - b.u end"
     none = "cast(array() as array<struct<d: double, t: int, u: int>>)"
-    found = f"case when size({into}_c) > 0 then array_sort(filter({every}, m -> m.d >= {least}), {order}) else {none} end"
+    found = f"case when size({cand}) > 0 then array_sort(filter({every}, m -> m.d >= {least}), {order}) else {none} end"
     picks = ", ".join(f"split('{'|'.join(chosen(s, least))}', '[|]')" for s in sets)
     spans = ", ".join(f"array({', '.join(str(max(1, round(len(normal(t).split(' ')[1:]) * f))) for f in SPANS)})" for _, t in templates)
     sequel = let("w", f"split(trim(BOTH ' ' FROM {norm}), ' ')", "transform(sequence(1, size(w) - 1), j -> concat(w[j - 1], ' ', w[j]))")
     starts = "array_distinct(flatten(transform(at, p -> sequence(greatest(0, p - s + 1), p))))"
     dice = let("r", "array_distinct(slice(g, i + 1, s))", f"2.0D * size(array_intersect(r, array({lists})[t])) / (size(r) + size(array({lists})[t]))")
     best = let("at", f"filter(sequence(0, size(g) - 1), p -> array_contains(array({picks})[t], g[p]))", f"array_max(flatten(transform(array_distinct(array({spans})[t]), s -> transform({starts}, i -> {dice}))))")
-    open_ = f"filter({into}_c, t -> not exists({into}, m -> m.t = t) and size(array_intersect(g, array({lists})[t])) >= size(array({lists})[t]) * {least / (2 - least) - 1e-9})"
+    open_ = f"filter({cand}, t -> not exists({into}, m -> m.t = t) and size(array_intersect(g, array({lists})[t])) >= size(array({lists})[t]) * {least / (2 - least) - 1e-9})"
     runs = let("g", sequel, f"filter(transform({open_}, t -> struct({best} as d, t as t, -1 as u)), m -> m.d >= {least})")
-    more = f"case when size({into}_c) > 0 then array_sort(concat({into}, {runs}), {order}) else {none} end"
-    low_text = f"{into}_l"
+    more = f"case when size({cand}) > 0 then array_sort(concat({into}, {runs}), {order}) else {none} end"
     holds = lambda w: F.col(low_text).contains(w) & (F.lit(True) if len(w) > 4 else F.col("text").rlike(f"(?i)(?<![a-z0-9]){w}(?![a-z0-9])"))
     passed = functools.reduce(lambda a, b: a | b, [holds(w) for w in gate(sets, least)], F.lit(False))
     # Other characters that lower() makes ASCII letters only let more texts pass.
     out = docs.withColumn(low_text, F.lower("text")).withColumn(norm, F.when(passed, _normal("text")).otherwise("")).drop(low_text)
-    out = out.withColumn(f"{into}_c", F.when(F.col(norm) != "", F.array_compact(F.array(*held))).otherwise(F.array().cast("array<int>")))
-    return out.withColumn(into, F.expr(found)).withColumn(into, F.expr(more)).drop(norm, f"{into}_c")
+    out = out.withColumn(cand, F.when(F.col(norm) != "", F.array_compact(F.array(*held))).otherwise(F.array().cast("array<int>")))
+    return out.withColumn(into, F.expr(found)).withColumn(into, F.expr(more)).drop(norm, cand)
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:
