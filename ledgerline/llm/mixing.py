@@ -5,8 +5,9 @@ sizes along that order say which document covers which words; the budget cuts th
 beyond the source's size takes whole epochs first.
 
 The prefix sums are distributed: the key's range is cut into buckets of about ``BUCKET_ROWS`` rows, each (source,
-bucket) is sorted and summed by itself, and adds the total of the buckets before it.  So a source of any size is spread
-over as many tasks as its rows need.  Identical documents (source, identifier, text hash, size) are one row with a
+bucket) is sorted and summed by itself, and adds the total of the buckets before it: those of its own run of buckets,
+and whole runs before that, so that no window sees more than about the square root of a source's buckets.  So a source
+of any size is spread over as many tasks as its rows need.  Identical documents (source, identifier, text hash, size) are one row with a
 multiplicity up to the end, so repeats cannot fill a bucket.
 
 Budgets: weights 1, 2, 3, 1, ... by source in code point order, null last; together they share all words.  A target
@@ -15,7 +16,7 @@ is min(cap, level * weight), and the level is found with one sort of the sources
 
 Edge cases: a null or blank text has size 0 and is taken 0 times.  Sources of size 0 have target 0.  An empty table
 gives an empty result.  Equal keys fall back on identifier, then text hash; repeated rows share their words in
-sequence.  Reruns agree, whatever the partitions.
+sequence.  Reruns agree, whatever the partitions.  Texts of any length are counted whole.  Extra columns play no part.
 """
 
 from __future__ import annotations
@@ -50,6 +51,13 @@ def targets(sources: DataFrame) -> DataFrame:
     return leveled.select("source", "source_size", "weight", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+def _on_source(left: DataFrame, right: DataFrame, also=None) -> DataFrame:
+    """An inner join on the source, null being one, and what else holds."""
+    other = right.withColumnRenamed("source", "s_")
+    same = left["source"].eqNullSafe(F.col("s_"))
+    return left.join(other, same if also is None else same & also).drop("s_")
+
+
 def mix(sizes: DataFrame) -> DataFrame:
     """``sizes`` (source, doc_id, h, size; h any hash of the content) with source_size, target, taken and copies.
 
@@ -61,15 +69,20 @@ def mix(sizes: DataFrame) -> DataFrame:
     n = rows.count()
     bits = min(40, max(0, math.ceil(math.log2(max(1, n) / BUCKET_ROWS))))
     rows = rows.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long"))
-    buckets = cut(rows.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("m")).alias("words")), "mix-buckets")
-    budget = targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")))
-    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = buckets.withColumn("offset", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
-    offsets = cut(offsets.join(F.broadcast(budget), offsets["source"].eqNullSafe(budget["source"])).drop(budget["source"]), "mix-offsets")
+    rows = rows.withColumn("run", F.shiftright("bucket", bits // 2))
+    buckets = cut(rows.groupBy("source", "run", "bucket").agg(F.sum(F.col("size") * F.col("m")).alias("words")), "mix-buckets")
+    runs = buckets.groupBy("source", "run").agg(F.sum("words").alias("all"))
+    budget = targets(runs.groupBy("source").agg(F.sum("all").alias("source_size")))
+    ahead = lambda by, c: F.coalesce(F.sum(c).over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = runs.withColumn("start", ahead(["source", "run"], "all")).drop("all")
+    starts = cut(_on_source(starts, bounded_broadcast(budget)), "mix-runs")
+    offsets = buckets.withColumn("inner", ahead(["source", "run", "bucket"], "words")).drop("words")
+    starts = bounded_broadcast(starts.withColumnRenamed("run", "r_"))
+    offsets = _on_source(offsets, starts, F.col("run") == F.col("r_")).withColumn("offset", F.col("start") + F.col("inner")).drop("r_", "run", "start", "inner")
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "h", "size").rowsBetween(Window.unboundedPreceding, -1)
-    summed = rows.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("m")).over(inside), F.lit(0)))
-    offsets = bounded_broadcast(summed, offsets.withColumnsRenamed({"source": "s_", "bucket": "b_"}))
-    placed = summed.join(offsets, summed["source"].eqNullSafe(F.col("s_")) & (F.col("bucket") == F.col("b_")))
+    summed = rows.drop("run").withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("m")).over(inside), F.lit(0)))
+    offsets = bounded_broadcast(cut(offsets, "mix-offsets").withColumnRenamed("bucket", "b_"))
+    placed = _on_source(summed, offsets, F.col("bucket") == F.col("b_"))
     each = placed.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
     at = F.col("offset") + F.col("before") + F.col("c") * F.col("size")
     budget_words = F.round("target").cast("long")
