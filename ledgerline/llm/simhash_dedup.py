@@ -12,11 +12,13 @@ Copies of a fingerprint are one node, so groups of exact copies cost nothing.  A
 fingerprints is checked pair by pair within its row.  In a larger one pairs would grow with the square, so its
 fingerprints are linked exactly another way: each lists the words one bit away (64, and itself); two fingerprints
 differ in at most two bits just when their lists meet, and a word is listed by 65 fingerprints at most, which are
-linked in a star.  For other tau than 2 large buckets are checked pair by pair in salted blocks.
+linked in a star.  For other tau than 2 large buckets are checked pair by pair, in blocks of ``BLOCK``: exact, but their
+time grows with the square of the distinct fingerprints that share a head.
 
 Edge cases: a null or blank text has fingerprint 0 and links like any other.  A text of fewer words than a shingle
-holds is one shingle.  Null ids are passed over in the smallest id; a class of null ids alone has none.  Repeated
-rows each give a row.
+holds is one shingle; texts of any length count whole.  A bit that is set in exactly half of the hashes is 0.  Null ids
+are passed over in the smallest id; a class of null ids alone has none.  Repeated rows each give a row, an empty table
+none.  Extra columns are kept; one called as the result is replaced.
 """
 
 from __future__ import annotations
@@ -32,9 +34,21 @@ from .graph import connected_components
 
 SEED = 42
 BUCKET = 64
+#: Fingerprints of a large bucket that meet in one group, for other tau than 2.
+BLOCK = 4096
 CHUNK = 1 << 16
 
 
+def bits_set(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes (little-endian u64) set each of the 64 bits."""
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The bits set in over half of n hashes, as a signed 64-bit number."""
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: str | None, width: int = 3) -> int:
     """The fingerprint of a whole text, as a signed 64-bit number."""
     words = text.encode().lower().split() if text else []
@@ -45,9 +59,8 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     for at in range(0, n, CHUNK):
         own = words[at : min(n, at + CHUNK) + width - 1]
         shingles = zip(*(own[i:] for i in range(width)), strict=False) if len(own) >= width else [own]
-        h = np.array([digest(b" ".join(s), SEED) for s in shingles], "<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
+        counts += bits_set(np.array([digest(b" ".join(s), SEED) for s in shingles], np.uint64))
+    return majority(counts, n)
 
 
 def with_fingerprints(docs: DataFrame, into: str, width: int = 3) -> DataFrame:
@@ -85,6 +98,14 @@ def _keeps(d: Column, chain: list[tuple[int, int]]) -> Column:
     return out
 
 
+def may_link(d: Column, tau: int, m: int) -> Column:
+    """Whether a difference d has at most ``tau`` bits: the pigeonring's quotas of some start segment, then the full check."""
+    kept = F.lit(False)
+    for chain in chains(tau, m):
+        kept = kept | _keeps(d, chain)
+    return kept & (F.bit_count(d) <= tau)
+
+
 def near_pairs(prints: DataFrame, tau: int = 2, m: int = 5, bucket: int = BUCKET) -> DataFrame:
     """Links (u, v) between the distinct fingerprints of ``prints`` (fp long): all pairs, but within large buckets
     stars with the same components."""
@@ -107,9 +128,10 @@ def near_pairs(prints: DataFrame, tau: int = 2, m: int = 5, bucket: int = BUCKET
         words = many.select("i", "fp", F.explode(F.concat(F.array(F.lit(0).cast("long")), flips)).alias("b")).select("i", "fp", F.col("fp").bitwiseXOR(F.col("b")).alias("w"))
         stars = words.groupBy("i", "w").agg(F.array_sort(F.collect_list("fp")).alias("a")).where("size(a) > 1")
         return pairs.union(stars.select(F.col("a")[0].alias("u"), F.explode(F.slice("a", 2, F.size("a") - 1)).alias("v"))).distinct()
-    salts = 16
-    left = many.select("i", "k", F.col("fp").alias("u"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    right = many.select("i", "k", F.col("fp").alias("v"), F.pmod(F.xxhash64("fp"), F.lit(salts)).cast("int").alias("salt"))
+    # Blocks of a large bucket by hash, each met by every fingerprint of the bucket once.
+    dealt = many.join(sizes.select("i", "k", F.ceil(F.col("c") / BLOCK).cast("int").alias("salts")), ["i", "k"])
+    left = dealt.select("i", "k", F.col("fp").alias("u"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    right = dealt.select("i", "k", F.col("fp").alias("v"), F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int").alias("salt"))
     return pairs.union(left.join(right, ["i", "k", "salt"]).where("u < v").where(near(F.col("u"), F.col("v"))).select("u", "v")).distinct()
 
 
