@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, exact_topk, language_id, license_scan, mixing, secret_scan, sentencepieces, simhash_dedup, sstable, token_counts
+from . import ann, exact_topk, language_id, license_scan, mixing, oracles, secret_scan, sentencepieces, simhash_dedup, sstable, token_counts
 
 
 def queries() -> dict:
@@ -22,19 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_topk": EXACT_TOPK}
-
-
-EXACT_TOPK = """
-with good as (
-  select distinct vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
-  from embeddings
-  where vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
-), ranked as (
-  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score,
-         row_number() over (partition by q.vec_id order by list_inner_product(q.v, c.v) desc, c.vec_id) as rank
-  from good q, good c where q.vec_id % 100 = 0 and q.vec_id <> c.vec_id
-)
-select query_id, rank::int as rank, vec_id, score from ranked where rank <= 10
-"""
+    return {"op5_license_scan": oracles.licenses(), "op7_secret_scan": oracles.secrets(), "op8_exact_topk": oracles.EXACT_TOPK}
