@@ -1,7 +1,10 @@
 """Text operators against brute force: the libraries themselves, plain Python, or held-out accuracy."""
 
+import base64
 import collections
 import hashlib
+import math
+import random
 import re
 import zlib
 
@@ -10,12 +13,20 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerline.llm import language_id, license_scan, mixing, secret_scan, sentencepieces, simhash_dedup, sstable, token_counts
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "a", "Hello  world\n x <unk>é漢字🎉 a\tb", " lead", "trail  ", "<|endoftext|> a<|EndOfText|>b  c", "it's IT'S don't,x", "x́ ́y ≮z", "日本語" * 20, "\x1c a\x1fb \x85d", "word " * 30_000]
+#: Long texts without a space: one for which every pair may merge, code, base64, Chinese and Japanese.
+_R = random.Random(4)
+LONG = [
+    "ab" * 20_000, "".join(_R.choice(["x='s", "don't!", "\n\n", "\t", "foo(bar);", "a1b2", "''s", "<|endoftext|>", "é", "5's", "_id"]) for _ in range(20_000)),
+    base64.b64encode(_R.randbytes(75_000)).decode(), "".join(chr(_R.randrange(0x4E00, 0x9FA5)) if _R.random() < 0.6 else _R.choice("のはをがでとにかんアイウ。、「」１２가나") for _ in range(100_000)),
+]
+ODD += LONG
 
 
 @pytest.fixture(scope="module")
@@ -44,13 +55,42 @@ def texts_of(docs):
     return collections.Counter((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
 
 
-def test_language_code_lengths_normalise():
-    m = language_id.train({"a": [b"abab abba" * 9], "b": [b"xyz zyx" * 9]})
-    for j in range(2):
-        p = np.exp2(-m.cost[:, j].reshape(-1, language_id.SYMBOLS)[:, :20].astype(float) / language_id.UNIT)
-        others = 256 - len({*b"abab abba", *b"xyz zyx"})
-        total = p[:, 0] * others + p[:, 1:].sum(1)
-        assert np.allclose(total, 1, atol=0.05)
+def brute_code_length(texts, text):
+    """Bits by the definition: plain dictionaries, and exclusion by summing over all bytes."""
+    seen = [collections.defaultdict(collections.Counter) for _ in range(4)]
+    for t in texts:
+        s = b"\0" * 3 + t
+        for i in range(3, len(s)):
+            for k in range(4):
+                seen[k][s[i - k : i]][s[i]] += 1
+
+    def distribution(context):
+        if context is None:
+            return [1 / 256] * 256
+        low, own = distribution(context[1:] if context else None), seen[len(context)].get(context)
+        if not own:
+            return low
+        n, d, rest = sum(own.values()), len(own), sum(p for b, p in enumerate(low) if b not in own)
+        if rest <= 1e-12:
+            return [own[b] / n for b in range(256)]
+        return [own[b] / (n + d) if b in own else d / (n + d) * low[b] / rest for b in range(256)]
+
+    s, bits = b"\0" * 3 + text, 0.0
+    for i in range(3, len(s)):
+        p = distribution(s[i - 3 : i])
+        assert abs(sum(p) - 1) < 1e-9
+        bits -= math.log2(p[s[i]])
+    return bits
+
+
+def test_language_code_lengths_are_exact():
+    rng = random.Random(2)
+    texts = {"a": [b"the cat sat on the mat, the rat " * 3, bytes(range(256))], "b": ["der Hund läuft über die Straße ".encode() * 2], "c": [b"z"]}
+    m = language_id.train(texts)
+    for t in (b"the hund sat", "Straße \xff über the ratz".encode(), rng.randbytes(60), b"z", b"\0\0\0a", "漢字".encode()):
+        got = language_id.code_lengths(m, [t, b"", t])
+        want = [brute_code_length(texts[x], t) for x in m.langs]
+        assert np.allclose(got[0], want, rtol=1e-12) and (got[1] == 0).all() and (got[0] == got[2]).all()
 
 
 def test_language_chunks_agree(monkeypatch):
@@ -58,7 +98,25 @@ def test_language_chunks_agree(monkeypatch):
     text = b"the hund sat und the mat katze " * 200
     whole = language_id.code_lengths(m, [text, b"", text[:7]])
     monkeypatch.setattr(language_id, "CHUNK", 97)
-    assert (language_id.code_lengths(m, [text, b"", text[:7]]) == whole).all()
+    assert np.allclose(language_id.code_lengths(m, [text, b"", text[:7]]), whole, rtol=1e-12)
+
+
+def test_language_ties_and_bounds():
+    same = {"b": [b"one two"], "a": [b"one two"]}
+    names, score = language_id.predict(language_id.train(same), [b"one"])
+    assert names == ["a"] and score[0] == 0.5
+    rng = random.Random(1)
+    many = {str(i): [rng.randbytes(2000) for _ in range(8)] for i in range(6)}
+    assert language_id.train(many, table_bytes=2 << 20).size <= 2 << 20 < language_id.train(many).size
+    index = language_id.HashIndex(np.arange(0, 9000, 3, dtype=np.uint32))
+    assert (index.find(np.arange(9000, dtype=np.uint32)) == [i // 3 if i % 3 == 0 else -1 for i in range(9000)]).all()
+
+
+def test_language_sample(spark):
+    """Copies count once, texts that are too long stand back, a language with long ones alone gives its beginning."""
+    rows = [(f"text {i}", "x") for i in range(400)] + [("copy", "x")] * 50 + [("y" * 5000, "x"), ("z" * 3000, "z"), ("z" * 4000, "z"), (None, "x"), ("free", None)]
+    got = language_id.sample_texts(spark.createDataFrame(rows, "text string, lang string"), per_language=30, max_bytes=2000)
+    assert len(got["x"]) == 30 and len(set(got["x"])) == 30 and got["z"] == [b"z" * 2000] and set(got) == {"x", "z"}
 
 
 def test_op1(spark, sf_dir, docs, empty_dir):
@@ -121,39 +179,49 @@ def test_shard_blocks(tmp_path, monkeypatch):
 
 
 def brute_viterbi(m, unit):
-    vocab = {"".join(map(chr, m.chars[r, : m.size[r]])): (m.score[r], m.ids[r]) for r in range(len(m.ids))} if not hasattr(m, "plain") else m.plain
-    m.plain = vocab
-    best = [(0.0, None)] + [(-np.inf, None)] * len(unit)
+    if not hasattr(m, "plain"):
+        m.plain = {"".join(map(chr, m.chars[r, : m.size[r]])): (m.score[r], m.ids[r]) for r in range(len(m.ids))}
+    vocab, best, back = m.plain, [0.0], [0]
     for e in range(1, len(unit) + 1):
+        top, step = -math.inf, 1
         for k in range(1, min(m.widest, e) + 1):
             w = unit[e - k : e]
-            s = vocab[w][0] if w in vocab else m.low if k == 1 else -np.inf
-            if best[e - k][0] + s > best[e][0]:
-                best[e] = (best[e - k][0] + s, k)
+            s = vocab[w][0] if w in vocab else m.low if k == 1 else -math.inf
+            if best[e - k] + s > top:
+                top, step = best[e - k] + s, k
+        best.append(top)
+        back.append(step)
     ids, e = [], len(unit)
     while e:
-        w = unit[e - best[e][1] : e]
-        ids = ([int(vocab[w][1])] if w in vocab else m.bytes_id[list(w.encode())].tolist()) + ids
-        e -= best[e][1]
-    return ids
+        w = unit[e - back[e] : e]
+        ids.append([int(vocab[w][1])] if w in vocab else m.bytes_id[list(w.encode())].tolist())
+        e -= back[e]
+    return [i for own in ids[::-1] for i in own]
 
 
 def test_sentencepiece(spark, docs):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    texts = [*ODD[:-1], *[r["text"] for r in docs.limit(40).collect()]]
+    texts = [*ODD, *[r["text"] for r in docs.limit(40).collect()]]
     merged = sentencepieces.encode(path, texts, merges=True)
     library = sentencepiece.SentencePieceProcessor(model_file=path).encode([t or "" for t in texts])
     assert [np.frombuffer(b, "<u4").tolist() for b in merged] == library
     best = sentencepieces.encode(path, texts)
     m = sentencepieces.model(path)
-    for t, b in zip(texts[:20], best[:20], strict=True):
+    for t, b in zip(texts, best, strict=True):
         assert np.frombuffer(b, "<u4").tolist() == (brute_viterbi(m, "▁" + t.replace(" ", "▁")) if t else [])
     assert all(sentencepieces.decode(path, b) == (t or "") for t, b in zip(texts, best, strict=True))
 
 
 def test_op6(spark, sf_dir, docs, empty_dir):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    m, library = sentencepieces.model(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    want = []
+    for (i, t), n in texts_of(docs).items():
+        best, merged = brute_viterbi(m, "▁" + t.replace(" ", "▁")) if t else [], library.encode(t or "")
+        want += [(i is None, i or 0, len(best), crc(best), True, len(merged), crc(merged))] * n
     rows = sentencepieces.op6_sentencepiece(spark, sf_dir).collect()
-    assert len(rows) == docs.count() and all(r["round_trip"] for r in rows)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, *r[1:]) for r in rows) == sorted(want)
     assert sentencepieces.op6_sentencepiece(spark, empty_dir).count() == 0
 
 
@@ -198,17 +266,27 @@ def test_trigram_queries():
     assert secret_scan.trigram_query("(abc|def)x?ghi") == [[["abc", "bcg", "cgh", "ghi"], ["abc", "bcx", "cxg", "ghi", "xgh"], ["def", "efg", "fgh", "ghi"], ["def", "efx", "fxg", "ghi", "xgh"]]]
 
 
+def brute_licenses(text):
+    """(coefficient, template) of all matches: whole text and lines, and for the other templates all runs of words."""
+    grams = [set(license_scan.bigrams(t)) for _, t in license_scan.TEMPLATES]
+    dice = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a else 0
+    units = [set(license_scan.bigrams(n)) for n in [text or "", *(text or "").split("\n")]]
+    found = [(dice(a, b), i) for a in units for i, b in enumerate(grams) if dice(a, b) >= license_scan.LEAST]
+    w = license_scan.normal(text or "").split(" ")
+    every = [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]
+    for i, b in enumerate(grams):
+        if i in {k for _, k in found} or len(b & units[0]) < license_scan.LEAST / (2 - license_scan.LEAST) * len(b):
+            continue  # a run cannot share more than the text does
+        words = len(license_scan.normal(license_scan.TEMPLATES[i][1]).split(" ")) - 1
+        runs = [dice(set(every[at : at + max(1, round(words * f))]), b) for f in license_scan.SPANS for at in range(len(every))]
+        if max(runs, default=0) >= license_scan.LEAST:
+            found.append((max(runs), i))
+    return found
+
+
 def brute_license(text):
-    best, names = (0.0, None), set()
-    for n in [text or "", *(text or "").split("\n")]:
-        a = set(license_scan.bigrams(n))
-        for name, t in license_scan.TEMPLATES:
-            b = set(license_scan.bigrams(t))
-            d = 2 * len(a & b) / (len(a) + len(b)) if a else 0
-            if d >= license_scan.LEAST:
-                names.add(name)
-                best = max(best, (d, name), key=lambda x: x[0])
-    return best[0], ",".join(sorted(names))
+    found = brute_licenses(text)
+    return max((d for d, _ in found), default=0.0), ",".join(sorted({license_scan.TEMPLATES[i][0] for _, i in found})), len(found)
 
 
 def test_op5(spark, sf_dir, docs, empty_dir, tmp_path):
@@ -218,9 +296,9 @@ def test_op5(spark, sf_dir, docs, empty_dir, tmp_path):
     docs.select("doc_id", "text").union(spark.createDataFrame([(30_000 + i, t) for i, t in enumerate(extra)], "doc_id long, text string")).write.parquet(f"{d}/documents.parquet")
     rows = {r["doc_id"]: r for r in license_scan.op5_license_scan(spark, d).collect()}
     for r in spark.read.parquet(f"{d}/documents.parquet").collect():
-        dice, names = brute_license(r["text"])
+        dice, names, n = brute_license(r["text"])
         got = rows[r["doc_id"]]
-        assert abs(got["dice"] - dice) < 1e-12 and got["licenses"] == names, r["text"]
+        assert abs(got["dice"] - dice) < 1e-12 and (got["licenses"], got["n_matches"]) == (names, n), r["text"]
         assert (got["license"] is None) == (dice == 0)
     assert rows[30_000]["license"] == "MIT" and license_scan.op5_license_scan(spark, empty_dir).count() == 0
 
@@ -324,6 +402,48 @@ def test_near_pairs_are_whole(spark, bucket, tau):
                 assert find(a) == find(b)
 
 
+def test_license_ties(spark):
+    """Equal coefficients go to the template first in the list."""
+    twice = (("B", "one two three four"), ("A", "one two three four"))
+    got = license_scan.scan(spark.createDataFrame([("one two three four",)], "text string"), "found", twice).first()["found"]
+    assert [(m["d"], m["t"], m["u"]) for m in got] == [(1.0, 0, 0), (1.0, 0, 1), (1.0, 1, 0), (1.0, 1, 1)]
+
+
+def test_clashing_columns(spark):
+    """Columns called as those that the operators work with pass through unchanged."""
+    docs = spark.createDataFrame([(1, "token=abcdefghijklmnop Released under the MIT License.", 5, 6, 7)], "doc_id long, text string, found_h int, found_n int, secrets int")
+    for out in (secret_scan.scan(docs, "found"), license_scan.scan(docs, "found"), secret_scan.masked(docs), token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")), simhash_dedup.with_fingerprints(docs, "fp")):
+        r = out.first()
+        assert (r["doc_id"], r["found_h"], r["found_n"], r["secrets"]) == (1, 5, 6, 7)
+    told = language_id.identify(docs.withColumn("told", F.lit(3)), language_id.train({"a": [b"text"]})).first()
+    assert told["told"] == 3 and told["lang_pred"] == "a"
+
+
+def test_memos_are_bounded(monkeypatch):
+    """A worker forgets beyond a number of bytes, and long pieces are not kept."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(token_counts, "_memos", {})
+    monkeypatch.setattr(token_counts, "MEMO_BYTES", 20_000)
+    texts = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(50)] + ["é" * 400 + " end"]
+    got = [n for t in texts for n in token_counts.count_tokens(path, [t])]
+    library = Tokenizer.from_file(path)
+    assert got == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    memo = token_counts._memos[path]
+    assert memo.size < 40_000 and max(len(x) for x in memo if isinstance(x, str)) <= token_counts.LONGEST_KEPT
+
+
+def test_shards_close_by_size(spark, tmp_path):
+    """Many shards a task, in order, and lookups across their borders."""
+    assert sstable.qualified(spark, "/tmp/x").startswith("file:/")
+    few = spark.createDataFrame([(i // 5, f"some words {i} " * 5) for i in range(300)], "doc_id long, text string")
+    m = sstable.write_shards(few, str(tmp_path / "b"), public_tokenizers.path("word_bpe_49k.json"), shard_entries=7).cache()
+    assert m.count() > 40 and all(r["path"].startswith("file:/") for r in m.collect())
+    rows = sorted(sstable.read_shards(m).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [i // 5 for i in range(300)]
+    found = collections.Counter(r["doc_id"] for r in sstable.lookup(spark, m, spark.createDataFrame([(i,) for i in range(-3, 70)], "doc_id long")).collect())
+    assert found == {i: 5 for i in range(60)}
+
+
 def test_licenses_inside_longer_documents(spark):
     """A text of several lines is found among other words, also if edited; other words alone match nothing."""
     long = {n: t for n, t in reversed(license_scan.TEMPLATES) if "\n" in t}
