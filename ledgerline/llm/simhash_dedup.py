@@ -98,14 +98,6 @@ def _keeps(d: Column, chain: list[tuple[int, int]]) -> Column:
     return out
 
 
-def may_link(d: Column, tau: int, m: int) -> Column:
-    """Whether a difference d has at most ``tau`` bits: the pigeonring's quotas of some start segment, then the full check."""
-    kept = F.lit(False)
-    for chain in chains(tau, m):
-        kept = kept | _keeps(d, chain)
-    return kept & (F.bit_count(d) <= tau)
-
-
 def near_pairs(prints: DataFrame, tau: int = 2, m: int = 5, bucket: int = BUCKET) -> DataFrame:
     """Links (u, v) between the distinct fingerprints of ``prints`` (fp long): all pairs, but within large buckets
     stars with the same components."""

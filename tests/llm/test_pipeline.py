@@ -4,10 +4,11 @@ import collections
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import graph, secret_scan
+from ledgerline.llm import graph, near_copies, secret_scan
 from ledgerline.llm.common import cut
 
 from .test_texts import ODD, brute_spans
@@ -84,8 +85,11 @@ def _edited(rng, words, every):
     return [f"new{rng.randrange(10**9)}" if i % every == every // 2 else w for i, w in enumerate(words)]
 
 
-def test_dedup_finds_edited_copies(spark):
-    """Classes by brute force: five-word shingles, Jaccard similarity 0.8 or more."""
+@pytest.mark.parametrize(("small", "hot", "block"), [(16, 64, 128), (1, 64, 128), (2, 2, 3), (2, 10_000, 128)])
+def test_dedup_finds_edited_copies(spark, monkeypatch, small, hot, block):
+    """Classes by brute force: five-word shingles, Jaccard similarity 0.8 or more; by each of the ways for large groups."""
+    for name, value in (("SMALL", small), ("HOT", hot), ("BLOCK", block)):
+        monkeypatch.setattr(near_copies, name, value)
     rng = random.Random(3)
     texts = []
     for size in (40, 100, 200, 500, 1000):
@@ -93,13 +97,21 @@ def test_dedup_finds_edited_copies(spark):
             words = [f"w{rng.randrange(50_000)}" for _ in range(size)]
             texts += [words, _edited(rng, words, every), _edited(rng, _edited(rng, words, every), every + 7)]
     words = [f"w{rng.randrange(50_000)}" for _ in range(300)]
-    texts += [_edited(rng, words, 300 + i % 5) for i in range(80)] + [["one"], ["One"], ["one", "two"], ["two"]]
+    texts += [_edited(rng, words, 300 + i % 5) for i in range(80)]
+    # A passage that many share, with little or much beside it, and a family of texts about as near as the limit.
+    passage = [f"p{i}" for i in range(90)]
+    texts += [passage + [f"own{rng.randrange(10**9)}" for _ in range(n)] for n in (8, 12, 20, 60, 200) for _ in range(12)]
+    near = [f"n{i}" for i in range(150)]
+    for _ in range(60):
+        at = set(rng.sample(range(150), 2))
+        texts.append([f"x{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(near)])
+    texts += [["one"], ["One"], ["one", "two"], ["two"]]
     rng.shuffle(texts)
     schema = spark.read.parquet(f"{SF}/documents.parquet").schema
     docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)], schema)
     want = brute_kept(docs.collect())
     got = sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, docs, SF).collect())
-    assert 60 < len(want) < 130 and got == want
+    assert 100 < len(want) < 320 and got == want
 
 
 def test_odd_rows_in_every_stage(spark):
