@@ -11,7 +11,7 @@ from ..sources.shared import cut, drop, drop_path, scratch_path, shared_dir  # n
 ARROW_ROWS = 1000
 ARROW_BYTES = 16 << 20
 #: What a remembered entry takes beside its text and value.
-ENTRY_BYTES = 120
+ENTRY_BYTES = 280
 
 
 def short_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:

@@ -46,7 +46,8 @@ LANGUAGES = 256
 TABLE_BYTES = 256 << 20
 #: Ranking deals a language's hashes over so many tasks.
 SALTS = 64
-CHUNK = 1 << 20
+#: Bytes that are coded at once, for four languages or fewer.
+CHUNK = 1 << 18
 
 
 class HashIndex:
