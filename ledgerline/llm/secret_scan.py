@@ -1,8 +1,10 @@
 """Secret scan with a trigram inverted index, in DataFrame operations only.
 
 From every rule's regular expression a Boolean query over trigrams is derived: a conjunction of clauses, each a
-disjunction of trigram sets that all strings of one alternative hold.  The index lists, for each trigram that some
-rule asks for, the texts that hold it (by text hash, ASCII case folded).  Postings are intersected by counting, per
+disjunction of trigram sets that all strings of one alternative hold.  Of such a set the ``ASKED`` trigrams that are
+rarest in plain text are asked for: the others follow from them in nearly all texts, and looking for one costs as much
+as it saves.  The index lists, for each trigram that some rule asks for, the texts that hold it (by text hash, ASCII
+case folded).  Postings are intersected by counting, per
 text, the trigrams met of each alternative, the clauses met of each rule.  Candidates alone are verified with the
 regular expression; a rule without a mandatory trigram scans all texts.
 
@@ -10,7 +12,9 @@ Spans are code point offsets, end exclusive.  Native functions give a regex's ma
 split at the regex gives what stands between, and running sums of both lengths give the places.
 
 Edge cases: a null text is empty.  A hash shared by two texts adds a candidate, which verification settles.  Copies
-of a text are one posting each trigram.  A text without spans has the digest of the empty string.
+of a text are one posting each trigram.  A text without spans has the digest of the empty string.  Matches of one kind do
+not overlap, those of several kinds may, and all are listed.  Texts of any length are searched whole.  Repeated rows
+each give a row, an empty table none.  Extra columns are kept whatever their names; one called as the result is replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, cut, documents
+from .common import bounded_broadcast, cut, documents, own_name
 
 
 @dataclass(frozen=True)
@@ -50,6 +54,10 @@ RULES = (
 # Trigram queries -----------------------------------------------------------------------------------------------------
 
 MOST_STRINGS = 16
+#: Trigrams asked for of each alternative.
+ASKED = 2
+#: Letters by how often plain text holds them; what is not here is rarer.
+FREQUENT = "etaoinsrhldcumfpgwybvk"
 
 
 def _strings(node) -> set[str] | None:
@@ -109,6 +117,12 @@ def trigram_query(regex: str) -> list[list[list[str]]]:
     return clauses
 
 
+def asked(regex: str) -> list[list[list[str]]]:
+    """The query of a regex with the rarest trigrams of each alternative alone; a match still holds them."""
+    common = lambda t: sum(len(FREQUENT) - FREQUENT.index(c) if c in FREQUENT else 0 for c in t)
+    return [[sorted(sorted(a, key=lambda t: (common(t), t))[:ASKED]) for a in clause] for clause in trigram_query(regex)]
+
+
 # Spans ---------------------------------------------------------------------------------------------------------------
 
 _BLOCK = 256
@@ -139,7 +153,7 @@ def rule_spans(text: str, rule: Rule, order: int) -> Column:
 
 def postings(texts: DataFrame, rules=RULES) -> DataFrame:
     """The inverted index (trigram, h) of ``texts`` (h, text) over the trigrams that the rules ask for."""
-    wanted = sorted({t for r in rules for clause in trigram_query(r.regex) for a in clause for t in a})
+    wanted = sorted({t for r in rules for clause in asked(r.regex) for a in clause for t in a})
     low = texts.select("h", F.lower("text").alias("low"))
     held = F.array_compact(F.array(*[F.when(F.col("low").contains(t), F.lit(t)) for t in wanted]))
     return low.select("h", F.explode(held).alias("trigram")).distinct()
@@ -150,7 +164,7 @@ def candidates(index: DataFrame, rules=RULES) -> DataFrame:
     spark = index.sparkSession
     terms, clauses = [], []
     for r in rules:
-        query = trigram_query(r.regex)
+        query = asked(r.regex)
         clauses.append((r.kind, len(query)))
         terms += [(t, r.kind, c, a, len(alternative)) for c, clause in enumerate(query) for a, alternative in enumerate(clause) for t in alternative]
     terms = spark.createDataFrame(terms, "trigram string, rule string, clause int, alternative int, need long")
@@ -162,11 +176,11 @@ def candidates(index: DataFrame, rules=RULES) -> DataFrame:
 
 def scan(docs: DataFrame, into: str, rules=RULES) -> DataFrame:
     """``docs`` with the column ``into``: array<struct<s, k, e>> of all spans of ``text``, by start, then kind."""
-    key, told, text = f"{into}_h", f"{into}_rules", f"{into}_t"
+    key, told, text = (own_name(docs, f"{into}_{x}") for x in ("h", "rules", "t"))
     keyed = docs.withColumn(text, F.coalesce("text", F.lit(""))).withColumn(key, F.xxhash64(text))
     hits = cut(candidates(postings(keyed.select(F.col(key).alias("h"), F.col(text).alias("text")), rules), rules), "candidates")
     hits = hits.select(F.col("h").alias(key), F.col("rules").alias(told))
-    joined = keyed.join(bounded_broadcast(keyed, hits), key, "left")
+    joined = keyed.join(bounded_broadcast(hits), key, "left")
     found = []
     for i, r in enumerate(rules):
         spans = rule_spans(text, r, i)
@@ -186,7 +200,7 @@ def masked(docs: DataFrame, rules=RULES) -> DataFrame:
 
     Overlapping spans become one mark (of the kind that starts first).  Texts without spans stay as they are.
     """
-    into = "__secrets"
+    into = own_name(docs, "secrets")
     out = scan(docs, into, rules)
     kinds = ", ".join(f"'{r.kind}'" for r in rules)
     fold = (
