@@ -44,11 +44,6 @@ def bounded_broadcast(table: DataFrame, limit: int = 32 << 20, row_bytes: int =
     return F.broadcast(table) if table.count() * row_bytes <= limit else table
 
 
-def utf8_size(text: str) -> int:
-    """Bytes of a text in UTF-8."""
-    return len(text) if text.isascii() else len(text.encode())
-
-
 class Memo(dict):
     """What a worker remembers, bounded by the bytes of keys and values; beyond them it starts afresh."""
 
@@ -56,9 +51,10 @@ class Memo(dict):
         super().__init__()
         self.most, self.size = most, 0
 
-    def add(self, key, value, size: int) -> None:
-        self[key] = value
-        self.size += size + ENTRY_BYTES
+    def learn(self, keys: list, values: list, size: int) -> None:
+        """Adds entries whose keys and values take about ``size`` bytes together."""
+        self.update(zip(keys, values, strict=True))
+        self.size += size + ENTRY_BYTES * len(keys)
 
     def room(self) -> None:
         """To be called between batches: forgets all once there is too much."""

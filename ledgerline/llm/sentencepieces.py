@@ -37,12 +37,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ENTRY_BYTES, Memo, documents, short_batches, utf8_size
+from .common import Memo, documents, short_batches
 from .token_counts import by_bytes, gather
 
-#: Bytes of units and ids that a worker remembers of each kind, and the longest unit of them in characters.
-MEMO_BYTES, LONGEST_KEPT = 96 << 20, 256
-#: Characters of a unit that is cut further.
+#: Bytes of units and ids that a worker remembers.
+MEMO_BYTES = 256 << 20
+#: Characters of a unit that is cut further, and not remembered as a whole.
 LONG = 96
 #: Characters of text that are cut into units at once.
 SLICE_CHARS = 8 << 20
@@ -50,8 +50,9 @@ MARKS = ",.;:!?*#$%&"
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_KNOWN = np.uint64(44)
 _models: dict[str, "PieceModel"] = {}
-_memos: dict[tuple[str, bool], Memo] = {}
+_memos: dict[tuple[str, tuple[bool, ...]], Memo] = {}
 
 
 class PieceModel:
@@ -90,6 +91,8 @@ class PieceModel:
                 h = np.where(j < size, h * _BASE + chars[:, j].astype(np.uint64) + np.uint64(1), h)
         order = np.argsort(h, kind="stable")
         self.keys, self.ids = h[order], np.array(plain, np.uint32)[order]
+        self.known = np.zeros(1 << 64 - int(_KNOWN), bool)  # of the first bits of a hash, whether some piece has them
+        self.known[self.keys >> _KNOWN] = True
         self.chars, self.size = chars[order], size[order]
         self.score = np.array([sp.get_score(i) for i in plain])[order]
         self.low = float(self.score.min()) - 10 if len(plain) else -10.0
@@ -102,15 +105,17 @@ class PieceModel:
 
     def probe(self, hashes: np.ndarray, chars: np.ndarray, start, size) -> np.ndarray:
         """Row of the piece equal to chars[k, start:start + size], or -1, for each hash."""
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        hit = np.nonzero(self.keys[at] == hashes)[0]
+        out = np.full(len(hashes), -1, np.int64)
+        hit = np.nonzero(self.known[hashes >> _KNOWN])[0]  # most substrings are no piece
+        at = np.minimum(np.searchsorted(self.keys, hashes[hit]), len(self.keys) - 1)
+        same = self.keys[at] == hashes[hit]
+        hit, at = hit[same], at[same]
         start, size = np.broadcast_to(start, hashes.shape)[hit], np.broadcast_to(size, hashes.shape)[hit]
-        ok = self.size[at[hit]] == size
+        ok = self.size[at] == size
         for j in range(int(size.max()) if len(size) else 0):
             column = np.minimum(start + j, chars.shape[1] - 1)
-            ok &= (j >= size) | (chars[hit, column] == self.chars[at[hit], min(j, self.widest - 1)])
-        out = np.full(len(hashes), -1, np.int64)
-        out[hit[ok]] = at[hit[ok]]
+            ok &= (j >= size) | (chars[hit, column] == self.chars[at, min(j, self.widest - 1)])
+        out[hit[ok]] = at[ok]
         return out
 
     def cut(self, unit: str) -> list[str]:
@@ -336,8 +341,7 @@ def encode_batch(path: str, texts: list[str | None], kinds: tuple[bool, ...]) ->
     Units are found once, each distinct one is encoded once and remembered together with whether its pieces give its
     text back; a text whose units all do does so, and any other is decoded as a whole.
     """
-    m = model(path)
-    memos = [_memos.setdefault((path, k), Memo(MEMO_BYTES)) for k in kinds]
+    m, memo = model(path), _memos.setdefault((path, kinds), Memo(MEMO_BYTES))
     plain = ["" if x is None or "\0" in x else x for x in texts]
     out, back, at = [[] for _ in kinds], [], 0
     while at < len(texts):
@@ -347,64 +351,60 @@ def encode_batch(path: str, texts: list[str | None], kinds: tuple[bool, ...]) ->
             end += 1
         words = units_of(m, pa.array(plain[at:end], pa.string()))
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        for j, (merges, memo) in enumerate(zip(kinds, memos, strict=True)):
-            values = _encoded(m, memo, distinct, merges)
-            out[j] += gather(words, coded, [v[0] for v in values])
-            if not j:
-                good = np.array([v[1] for v in values], bool)[coded.indices.to_numpy()]
-                bad = np.concatenate([[0], np.cumsum(~good)])
-                bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
-                back += (bad[bounds[1:]] == bad[bounds[:-1]]).tolist()
+        good, *values = zip(*_encoded(m, memo, coded.dictionary.to_pylist(), kinds), strict=True)
+        for own, ids in zip(out, values, strict=True):
+            own += gather(words, coded, ids)
+        bad = np.concatenate([[0], np.cumsum(~np.array(good, bool)[coded.indices.to_numpy()])])
+        bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+        back += (bad[bounds[1:]] == bad[bounds[:-1]]).tolist()
         at = end
     if kinds[0]:
         back = [False] * len(texts)
     for i, x in enumerate(texts):
         if x and "\0" in x:
-            own = _UNIT.findall(SPACE + x.replace(" ", SPACE))
-            for j, (merges, memo) in enumerate(zip(kinds, memos, strict=True)):
-                out[j][i] = b"".join(v[0] for v in _encoded(m, memo, own, merges))
+            coded = _encoded(m, memo, _UNIT.findall(SPACE + x.replace(" ", SPACE)), kinds)
+            for j, own in enumerate(out):
+                own[i] = b"".join(v[j + 1] for v in coded)
             back[i] = False
         if not back[i] or x and SPACE in x:
             back[i] = decode(path, out[0][i]) == (x or "")
     return out, back
 
 
-def _encoded(m: PieceModel, memo: Memo, units: list[str], merges: bool) -> list[tuple[bytes, bool]]:
-    """(ids, whether they decode to the unit; not looked at if merged) of each unit."""
+def _gives_back(m: PieceModel, unit: str, ids: bytes) -> bool:
+    return b"".join([m.out[i] for i in np.frombuffer(ids, "<u4").tolist()]) == unit.replace(SPACE, " ").encode()
+
+
+def _encoded(m: PieceModel, memo: Memo, units: list[str], kinds: tuple[bool, ...]) -> list[tuple]:
+    """(whether the first kind's ids decode to the unit; the ids of each kind) of each unit."""
     memo.room()
-    memo[""] = (b"", True)
-    new, long = {u for u in units if u not in memo}, {}
+    memo[""] = (True, *[b""] * len(kinds))
+    new, long = set(units).difference(memo), {}
     for u in [u for u in new if len(u) > LONG]:
         new.remove(u)
         long[u] = m.cut(u)
-        new.update(x for x in long[u] if x not in memo)
-    run, run_long, fresh = (merge, merge_long, {}) if merges else (viterbi, viterbi_long, {})
+    if long:
+        new.update(x for own in long.values() for x in own if x not in memo)
+    passing = [u for u in new if len(u) > LONG]  # no cut was found in these
+    for u in passing:
+        ids = [(merge_long if k else viterbi_long)(m, u) for k in kinds]
+        memo[u] = _gives_back(m, u, ids[0]), *ids
     by_length: dict[int, list[str]] = {}
-    for u in new:
-        if len(u) <= LONG:
-            by_length.setdefault(len(u), []).append(u)
-        else:
-            fresh[u] = run_long(m, u)
-    for own in by_length.values():
+    for u in new.difference(passing):
+        by_length.setdefault(len(u), []).append(u)
+    for width, own in by_length.items():
         for some in by_bytes(own):
-            fresh.update(zip(some, run(m, some), strict=True))
-    whole = lambda u, ids: merges or b"".join([m.out[i] for i in np.frombuffer(ids, "<u4").tolist()]) == u.replace(SPACE, " ").encode()
-    passing = []
-    for u, ids in fresh.items():
-        memo.add(u, (ids, whole(u, ids)), utf8_size(u) + len(ids))
-        if len(u) > LONGEST_KEPT:
-            passing.append(u)
+            ids = [(merge if k else viterbi)(m, some) for k in kinds]
+            good = [True] * len(some) if kinds[0] else [_gives_back(m, u, b) for u, b in zip(some, ids[0], strict=True)]
+            memo.learn(some, list(zip(good, *ids, strict=True)), 2 * width * len(some) + sum(sum(map(len, x)) + 40 * len(x) for x in ids))
     for u, own in long.items():
-        values = [memo[x] for x in own]
-        if u not in fresh:
-            memo[u] = b"".join(v[0] for v in values), all(v[1] for v in values)
+        if u not in memo:
+            values = [memo[x] for x in own]
+            memo[u] = all(v[0] for v in values), *[b"".join(v[j + 1] for v in values) for j in range(len(kinds))]
             passing.append(u)
-    out = [memo[u] for u in units]
+    out = list(map(memo.__getitem__, units))
     for u in passing:
-        if u in memo:
-            memo.size -= utf8_size(u) + len(memo[u][0]) + ENTRY_BYTES if u in fresh else 0
-            del memo[u]
+        del memo[u]
     return out
 
 

@@ -38,7 +38,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, documents, scratch_path, short_batches, utf8_size
+from .common import ENTRY_BYTES, Memo, documents, scratch_path, short_batches
 from .token_counts import by_bytes, gather, tokenizer
 
 MAGIC = b"LLSST\x00\x00\x01"
@@ -51,7 +51,7 @@ SHARD_BYTES, SHARD_ENTRIES = 256 << 20, 2_000_000
 #: Input, as the planner sees it, that one task writes.
 TASK_BYTES = 128 << 20
 #: Bytes of words and ids that a worker remembers, and the longest word of them in characters.
-MEMO_BYTES, LONGEST_KEPT = 128 << 20, 256
+MEMO_BYTES, LONGEST_KEPT = 192 << 20, 256
 #: Bytes of text that are split at once.
 SLICE_BYTES = 8 << 20
 END_ID = 1
@@ -277,15 +277,12 @@ def encode(path: str, texts: pa.Array) -> list[bytes]:
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         memo.room()
-        long = {}
         for some in by_bytes([x for x in distinct if x not in memo]):
-            for x, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids = struct.pack(f"<{len(e.ids)}I", *e.ids)
-                if len(x) <= LONGEST_KEPT:
-                    memo.add(x, ids, utf8_size(x) + len(ids))
-                else:
-                    long[x] = ids
-        out += gather(words, coded, [long[x] if x in long else memo[x] for x in distinct])
+            values = [struct.pack(f"<{len(own)}I", *own) for own in (e.ids for e in t.encode_batch_fast(some, add_special_tokens=False))]
+            memo.learn(some, values, 2 * sum(map(len, some)) + sum(map(len, values)))
+        out += gather(words, coded, list(map(memo.__getitem__, distinct)))
+        for x in [x for x in distinct if len(x) > LONGEST_KEPT]:
+            memo.size -= 2 * len(x) + len(memo.pop(x)) + ENTRY_BYTES
         at = end
     for i in np.nonzero(special.to_numpy(zero_copy_only=False))[0]:
         e = t.encode(texts[int(i)].as_py(), add_special_tokens=False)

@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, documents, short_batches, utf8_size
+from .common import Memo, documents, short_batches
 
 #: Bytes of new pieces that go to the library in one call.
 CALL_BYTES = 1 << 18
 #: Bytes of pieces that a worker remembers, and the longest of them in characters.
-MEMO_BYTES, LONGEST_KEPT = 96 << 20, 256
+MEMO_BYTES, LONGEST_KEPT = 128 << 20, 256
 #: Characters of a piece that is cut further.
 LONG = 512
 LIMIT = 512
@@ -44,7 +44,7 @@ _MARK = r"!-&(-/:-@\[-`{-~"
 _RUNS = re.compile(rf"(?<=[A-Za-z])(?=[0-9\n{_MARK}])|(?<=[0-9])(?=[A-Za-z\n{_MARK}])|(?<=[{_MARK}])(?=[A-Za-z0-9\n])")
 _tokenizers: dict[str, object] = {}
 _pairs: dict[str, np.ndarray] = {}
-_memos: dict[str, Memo] = {}
+_memos: dict[tuple[str, str], Memo] = {}
 
 
 def tokenizer(path: str):
@@ -115,7 +115,7 @@ def by_bytes(items: list, most: int = CALL_BYTES):
     batch, size = [], 0
     for x in items:
         batch.append(x)
-        size += utf8_size(x)
+        size += len(x) if x.isascii() else len(x.encode())
         if size >= most:
             yield batch
             batch, size = [], 0
@@ -139,40 +139,36 @@ def gather(words: pa.ListArray, coded: pa.DictionaryArray, values: list[bytes])
 def _lengths(path: str, pieces: list[str]) -> list[int]:
     """Tokens of each piece, encoded in batches of about equal bytes."""
     t = tokenizer(path)
-    return [len(e.ids) for some in by_bytes(pieces) for e in t.encode_batch_fast(some, add_special_tokens=False)]
+    return [len(e) for some in by_bytes(pieces) for e in t.encode_batch_fast(some, add_special_tokens=False)]
+
+
+def _learn(path: str, memo: Memo, new: set[str], lead: str) -> list[str]:
+    """Counts new pieces, each after ``lead``, into the memo; those too long to stay there are returned."""
+    passing = [x for x in new if len(x) > LONGEST_KEPT] if len(max(new, key=len, default="")) > LONGEST_KEPT else []
+    for x in passing:
+        memo[x] = sum(_lengths(path, parts(path, lead + x) if len(x) > LONG else [lead + x]))
+    kept = list(new.difference(passing)) if passing else list(new)
+    memo.learn(kept, _lengths(path, [lead + x for x in kept] if lead else kept), 2 * sum(map(len, kept)))
+    return passing
 
 
 def count_tokens(path: str, texts: list[str | None]) -> list[int]:
     """Tokens of each whole text, as the library counts them."""
-    memo = _memos.setdefault(path, Memo(MEMO_BYTES))
+    # A text's first piece has no space before it, all others have.
+    memos = [_memos.setdefault((path, lead), Memo(MEMO_BYTES)) for lead in ("", " ")]
     out = []
     for batch in by_bytes([x or "" for x in texts], 1 << 22):
-        cut = [pieces(x) if x else [] for x in batch]
-        memo.room()
-        # A first piece has no space before it and is kept under a 1-tuple, the others under their text.
-        new, long = set(), {}
-        for own in cut:
-            if own:
-                new.add((own[0],))
-                new.update(own[1:])
-        new -= memo.keys()
-        short = []
-        for x in new:
-            text = x[0] if isinstance(x, tuple) else " " + x
-            if len(text) > LONG:
-                long[x] = sum(_lengths(path, parts(path, text)))
-            else:
-                short.append((x, text))
-        for (x, text), n in zip(short, _lengths(path, [text for _, text in short]), strict=True):
-            if len(text) <= LONGEST_KEPT:
-                memo.add(x, n, utf8_size(text))
-            else:
-                long[x] = n
-        memo.update(long)
-        for own in cut:
-            out.append(memo[(own[0],)] + sum(map(memo.__getitem__, own[1:])) if own else 0)
-        for x in long:
-            del memo[x]
+        cut = [pieces(x) if x else [""] for x in batch]
+        firsts, rest = {own[0] for own in cut}, set().union(*(own[1:] for own in cut))
+        passing = []
+        for memo, own, lead in zip(memos, (firsts, rest), ("", " "), strict=True):
+            memo.room()
+            passing.append(_learn(path, memo, own.difference(memo), lead))
+        first, other = (m.__getitem__ for m in memos)
+        out += [first(own[0]) + sum(map(other, own[1:])) for own in cut]
+        for memo, long in zip(memos, passing, strict=True):
+            for x in long:
+                del memo[x]
     return out
 
 
