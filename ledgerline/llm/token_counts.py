@@ -32,7 +32,7 @@ from .common import Memo, documents, short_batches
 #: Bytes of new pieces that go to the library in one call.
 CALL_BYTES = 1 << 18
 #: Bytes of pieces that a worker remembers, and the longest of them in characters.
-MEMO_BYTES, LONGEST_KEPT = 128 << 20, 256
+MEMO_BYTES, LONGEST_KEPT = 320 << 20, 256
 #: Characters of a piece that is cut further.
 LONG = 512
 LIMIT = 512
