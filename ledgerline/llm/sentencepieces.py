@@ -335,13 +335,13 @@ def units_of(m: PieceModel, texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(pc.replace_substring(own, pattern=" ", replacement=SPACE), "\0")
 
 
-def encode_batch(path: str, texts: list[str | None], kinds: tuple[bool, ...]) -> tuple[list[list[bytes]], list[bool]]:
+def encode_batch(path: str, texts: list[str | None], kinds: tuple[bool, ...], memo_bytes: int = MEMO_BYTES) -> tuple[list[list[bytes]], list[bool]]:
     """For each of ``kinds`` (whether to merge) the ids of whole texts; and whether the first kind's decode to the text.
 
     Units are found once, each distinct one is encoded once and remembered together with whether its pieces give its
     text back; a text whose units all do does so, and any other is decoded as a whole.
     """
-    m, memo = model(path), _memos.setdefault((path, kinds), Memo(MEMO_BYTES))
+    m, memo = model(path), _memos.setdefault((path, kinds), Memo(memo_bytes))
     plain = ["" if x is None or "\0" in x else x for x in texts]
     out, back, at = [[] for _ in kinds], [], 0
     while at < len(texts):
@@ -420,13 +420,13 @@ def decode(path: str, ids: bytes) -> str:
     return text[1:] if text[:1] == " " else text
 
 
-def with_pieces(docs: DataFrame, path: str, into: str, merges: bool = False) -> DataFrame:
+def with_pieces(docs: DataFrame, path: str, into: str, merges: bool = False, memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """``docs`` with ``into``: struct n, crc (of the ids), back (whether decoding gives the text), and with ``merges``
-    merged_n, merged_crc."""
+    merged_n, merged_crc.  ``memo_bytes``: what a worker may remember; less where it also serves other operators."""
     short_batches(docs.sparkSession)
 
     def run(batch):
-        ids, back = encode_batch(path, batch.to_pylist(), (False, True) if merges else (False,))
+        ids, back = encode_batch(path, batch.to_pylist(), (False, True) if merges else (False,), memo_bytes)
         columns = [pa.array(c, pa.int64()) for own in ids for c in ([len(b) // 4 for b in own], [zlib.crc32(b) for b in own])]
         return pa.StructArray.from_arrays([*columns, pa.array(back, pa.bool_())], [*names, "back"])
 
