@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline import catalogue
 from ledgerline.operators import ranges as R
 from ledgerline.sources import state
 from ledgerline.streaming import stateful, tail
@@ -37,6 +38,18 @@ def test_late_rows_repeats_and_restart(spark, tmp_path):
     assert len(ids(spark, dst)) == 4
 
 
+def test_total_beyond_a_long(spark, tmp_path):
+    """Times whose sum no long holds are summed exactly; a sum that a long holds is one."""
+    for n, kind in ((3000, "decimal(29,0)"), (300, "bigint")):
+        kept = [i for i in range(n) if i % 97 != 5 and i % 211]
+        at = 8_000_000_000_000_000
+        rows = spark.range(n).where("id % 97 <> 5 and id % 211 <> 0").select(F.col("id").alias("event_id"), F.timestamp_millis(F.col("id") + at).alias("ts"), F.lit("click").alias("event_type"), F.lit("{}").alias("props"))
+        rows.write.parquet(f"{tmp_path}/{n}/events.parquet")
+        got = catalogue.queries()["tail_inserts"](spark, f"{tmp_path}/{n}")
+        assert dict(got.dtypes)["total"] == kind
+        assert [int(x) for x in got.first()] == [len(kept), len(kept), sum(i + at for i in kept)]
+
+
 def test_poll_moves_the_cursor_after_the_write(spark, tmp_path):
     path, dst, now = str(tmp_path / "cursor.json"), str(tmp_path / "out"), 10 * DAY
     events = spark.createDataFrame([("1", now - 2 * HOUR, "old", "g"), ("2", now - 1, "new", "g"), ("3", now - 5, "other", "h")], "id string, timestamp_ms long, message string, stream string")
