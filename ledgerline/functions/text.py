@@ -10,6 +10,7 @@ DAY_MS = 86_400_000
 
 def rfc3339(ms: Column) -> Column:
     """Milliseconds since the epoch as RFC 3339 in UTC; the fraction appears only if it is not zero.
+    Years of more than four digits have a sign.
 
     Instants outside the years -262143 to 262142 give the epoch.
     """
