@@ -5,24 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut, drop, drop_path, scratch_path, shared_dir  # noqa: F401  used by the operators
+from ..sources.shared import cut, drop, drop_path, scratch_path, shared_dir, short_batches  # noqa: F401  used by the operators
 
-#: Rows, and bytes, of one Arrow batch; whole texts travel, so a batch is kept short.
-ARROW_ROWS = 1000
-ARROW_BYTES = 16 << 20
 #: What a remembered entry takes beside its text and value.
 ENTRY_BYTES = 280
 
 
-def short_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:
-    """Bounds an Arrow batch by rows and by bytes (a single text may be larger): the default of 10,000 whole texts could be
-    gigabytes.  The session keeps the smaller bounds: a query is planned lazily, and may be run long after this call."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        now = spark.conf.get(key).rstrip("b")
-        if not now.isdigit() or not 0 < int(now) <= most:
-            spark.conf.set(key, str(most))
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

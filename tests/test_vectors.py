@@ -1,6 +1,7 @@
 """Small cases with known answers."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,38 @@ def test_long_strings_are_cut_at_a_character():
     assert cut == "é" * 16_000 + "...[truncated]"
 
 
+def test_depth_is_found_in_long_texts():
+    """A long text costs a scan for brackets, not a step a character; depth is that outside strings."""
+    text = '{"s":"' + "x" * 8_000_000 + '"}'
+    began = time.process_time()
+    assert jsonnorm.parse(text)["s"].startswith("xx")
+    assert time.process_time() - began < 0.25
+    deep = lambda n, s: "[" * n + json.dumps(s) + "]" * n
+    assert jsonnorm.parse(deep(127, '[{\\"' * 300))
+    for bad in (deep(128, ""), deep(128, '[\\"'), '{"a":"' + "[" * 200, '{"a":"\\"' + "{" * 200 + "}"):
+        with pytest.raises(jsonnorm.NotJson):
+            jsonnorm.parse(bad)
+
+
+def test_string_sizes_and_repeats(spark):
+    """Sizes of the rewritten string; texts that a batch repeats, nulls among them, keep their places."""
+    each = [("é" * 20_000, 16_014, 32_014), ("x" * 33_000, 32_014, 32_014), ("ab", 2, 2)]
+    texts = [json.dumps({"S": s}, ensure_ascii=False) for s, _, _ in each] + [None, "{", '{"s":1.50}', "[1]", '{"s":[]}']
+    want = [(c, b) for _, c, b in each] + [None, None, (3, 3), None, None]
+    df = values(spark, "i int, m string", [(i, texts[i % 8]) for i in range(40)]).coalesce(1)
+    got = rows(df.select("i", jsonnorm.string_sizes(F.col("m"), "s"), jsonnorm.normalize_json(F.col("m"))))
+    assert [x and tuple(x) for _, x, _ in got] == want * 5
+    assert [x for _, _, x in got][3:8] == [None, None, '{"s":"1.5"}', '["1"]', '{"s":[]}'] and len({x for _, _, x in got}) == 7
+
+
+def test_long_texts_are_dealt_out(spark):
+    """A small file of keys that become long texts is no single task."""
+    from ledgerline import catalogue
+
+    df = catalogue.queries()["long_strings"](spark, "/root/testdata/sf0.001")
+    assert df.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_flatten():
     flat = jsonnorm.flatten_all
     assert flat({"u": {"p": {"n": 1}}, "s": "v"}) == {"s": "v", "u": {"p": '{"n":1}'}}
