@@ -1,12 +1,22 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and what these link.
 
-This is SimHash near-dedup (``simhash_dedup``) at a wide threshold.  At a similarity of 0.8 the 64-bit fingerprints of
-five-word shingles differ in 10 bits on average and in ``TAU`` at most, but for a chance of 2 in a million.  So many
-differences leave the pigeonring no segment that must agree, hence no key to join on; a fingerprint long enough to have
-one would need hundreds of keys.  Therefore candidates are texts that agree in one of ``BANDS`` groups of ``ROWS``
-min-hashes of the same shingles (a pair of similarity 0.8 meets but for a chance of 2 in a million, a closer pair but for
-less); the Hamming distance of the fingerprints passes those that may be near, and their exact similarity (of 64-bit
-shingle hashes) decides, so no other text is linked.
+This is SimHash near-dedup with a pigeonring filter, as ``simhash_dedup``, at a wide threshold.  At a similarity of 0.8
+the 64-bit fingerprints of five-word shingles differ in 10 bits on average and in ``TAU`` at most, but for a chance of 2
+in a million.  Cut into segments, those 64 bits give no key: so many differences leave none that must agree.  So the
+fingerprint is made longer: the hash space of the shingles is the ring, cut into ``m`` segments, and each has a SimHash of
+its own, of the shingles that fall into it.
+
+Pigeonring.  Sets of a and b shingles with a similarity of 0.8 differ in at most tau = (a + b) / 9 shingles, which lie
+somewhere on the ring; so some segment starts a chain in which the first l segments hold at most l * tau / m of them, for
+every l.  Segments without a difference have equal SimHashes, which are the equi-join key.  Pairs that meet must have a
+start whose longer chains keep their quotas, told by one bit of each segment's SimHash (two that differ hold at least one
+difference, so no near pair is lost); then comes the Hamming check of the whole fingerprints, and the exact similarity (of
+64-bit shingle hashes) decides, so no other text is linked.
+
+Rings.  A set of 2^t to 2^(t+1) - 1 shingles has the ring of level t, and that of the level below if near copies may stand
+there: near copies share a level.  A ring of sets of ``WHOLE`` shingles and more holds those whose hashes begin with t - 7
+zeros, some 128 to 320.  Then tau comes near m or passes it, and a key is no longer certain, but likely: that every segment
+with a shingle has a difference has a chance of 1 in a million at a similarity of 0.8, and less for closer pairs.
 
 Groups.  Texts of the same words (ASCII letters in lower case) are one node, so exact copies cost nothing.  In a group of
 up to ``SMALL`` nodes all pairs are candidates.  In a larger one each node is first compared with ``CENTRES`` of the group,
@@ -25,6 +35,7 @@ Repeated rows are one node, an empty table has none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -39,7 +50,6 @@ from .simhash_dedup import bits_set, majority
 
 WIDTH = 5
 LEAST = 0.8
-BANDS, ROWS = 25, 4
 CENTRES = 3
 #: Nodes of a group whose pairs are all candidates; nodes for which a shingle decides before they are a family; nodes and
 #: shingles of a family that meet in one row, a side.
@@ -48,9 +58,9 @@ SMALL, HOT, BLOCK, BLOCK_SHINGLES = 16, 64, 128, 1 << 20
 TAU, FEW = 24, 20
 SEED = 42
 CHUNK = 1 << 12
-
-_rng = np.random.default_rng(SEED)
-_A, _B = _rng.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1), _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+#: The least set of which a ring holds a sample, its level, and by how many deviations a sample's tau passes its mean.
+WHOLE, SAMPLED, DEVIATIONS = 256, 8, 6
+KEYS = pa.struct([("i", pa.int32()), ("k", pa.int64()), ("ring", pa.int64())])
 
 
 def shingles(words: list[bytes]) -> np.ndarray:
@@ -60,13 +70,36 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(np.array([digest(b" ".join(s), SEED) for s in own], np.uint64))
 
 
-def band_keys(h: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(h), CHUNK):
-        # The high half of the product is well mixed; its low bits would keep those of the hash.
-        x = h[at : at + CHUNK, None] * _A + _B
-        least = np.minimum(least, ((x ^ (x >> np.uint64(32))) * _A).min(0))
-    return np.array([xxhash.xxh64_intdigest(least[i * ROWS : (i + 1) * ROWS].tobytes(), i) for i in range(BANDS)], np.uint64).view(np.int64)
+def level(n: int) -> int:
+    return n.bit_length() - 1
+
+
+def segments_of(t: int) -> int:
+    """The number m of segments in the ring of level t."""
+    return 64 if t < 4 else 32 if t < 7 else 48
+
+
+def ring(h: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The segments of level t that hold shingles of the sorted hashes ``h``, their SimHashes, and for each the ring's bits:
+    one of every SimHash, at the place of its segment."""
+    m, zeros = segments_of(t), max(0, t + 1 - SAMPLED)
+    own = h[: np.searchsorted(h, np.uint64(1 << (64 - zeros)))] if zeros else h
+    at = (own & np.uint64(0xFFFFFFFF)) * np.uint64(m) >> np.uint64(32)
+    order = np.argsort(at, kind="stable")
+    held, first, sizes = np.unique(at[order], return_index=True, return_counts=True)
+    if not len(held):
+        return held, held, held
+    bits = np.unpackbits(own[order].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    prints = np.packbits(np.add.reduceat(bits, first, axis=0, dtype=np.int32) * 2 > sizes[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+    odd = np.bitwise_count(prints).astype(np.uint64) & np.uint64(1)
+    return held, prints, np.full(len(held), np.bitwise_or.reduce(odd << held), np.uint64)
+
+
+def ring_keys(h: np.ndarray) -> np.ndarray:
+    """i (level * 64 + segment), k (the segment's SimHash) and the ring's bits of each segment that holds a shingle, for the
+    set's level and that of its smallest near copies; as columns."""
+    own = [(t, *ring(h, t)) for t in {level(len(h)), level(max(1, math.ceil(LEAST * len(h) - 1e-9)))}]
+    return np.concatenate([np.stack([held + np.uint64(64 * t), prints, bits]) for t, held, prints, bits in own], axis=1)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -74,7 +107,7 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def with_keys(docs: DataFrame, into: str) -> DataFrame:
-    """``docs`` with ``into``: struct<node: of the words, n: distinct shingles, fp: their fingerprint, keys: of the bands>
+    """``docs`` with ``into``: struct<node: of the words, n: distinct shingles, fp: their fingerprint, keys: of the rings>
     of ``text``."""
     short_batches(docs.sparkSession)
 
@@ -86,11 +119,14 @@ def with_keys(docs: DataFrame, into: str) -> DataFrame:
             nodes.append(xxhash.xxh64_intdigest(b" ".join(w), SEED))
             sizes.append(len(h))
             prints.append(majority(sum(bits_set(h[at : at + CHUNK]) for at in range(0, len(h), CHUNK)), len(h)))
-            keys.append(band_keys(h))
+            keys.append(ring_keys(h))
+        i, k, bits = np.concatenate(keys, axis=1).view(np.int64) if keys else np.empty((3, 0), np.int64)
+        ends = np.cumsum([0, *(x.shape[1] for x in keys)], dtype=np.int32)
+        keys = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(i.astype(np.int32)), pa.array(k), pa.array(bits)], fields=list(KEYS)))
         nodes = pa.array(np.array(nodes, np.uint64).view(np.int64), pa.int64())
-        return pa.StructArray.from_arrays([nodes, pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["node", "n", "fp", "keys"])
+        return pa.StructArray.from_arrays([nodes, pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), keys], ["node", "n", "fp", "keys"])
 
-    return docs.withColumn(into, F.arrow_udf(run, "node long, n int, fp long, keys array<long>", F.ArrowUDFType.SCALAR)(F.col("text")))
+    return docs.withColumn(into, F.arrow_udf(run, "node long, n int, fp long, keys array<struct<i: int, k: long, ring: long>>", F.ArrowUDFType.SCALAR)(F.col("text")))
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -108,6 +144,23 @@ def _may(x: Column, y: Column) -> Column:
     return (least >= LEAST * most - 1e-9) & ((least < FEW) | (F.bit_count(x["fp"].bitwiseXOR(y["fp"])) <= TAU))
 
 
+def _keeps(i: Column, x: Column, y: Column) -> Column:
+    """Whether some start in the ring of two nodes (structs with n, ring) that meet in ``i`` keeps the quotas of its chains: of
+    one segment, a quarter, a half and all of the ring."""
+    t, d = F.shiftright(i, 6), x["ring"].bitwiseXOR(y["ring"])
+    mean = (x["n"] + y["n"]) * ((1 - LEAST) / (1 + LEAST)) / F.pow(F.lit(2.0), F.greatest(F.lit(0), t + 1 - SAMPLED))
+    tau = F.when(t < SAMPLED, mean).otherwise(mean + DEVIATIONS * F.sqrt(mean)) + 1e-9
+
+    def chains(m: int) -> Column:
+        turned = lambda s: F.call_function("shiftrightunsigned", d, s).bitwiseOR(F.call_function("shiftleft", d, m - s))
+        low = lambda w, n: F.bit_count(w.bitwiseAND(F.lit((1 << n) - 1 if n < 64 else -1))) <= F.floor(tau * (n / m))
+        some = F.exists(F.sequence(F.lit(0), F.lit(m - 1)), lambda s: low(turned(s), 1) & low(turned(s), m // 4) & low(turned(s), m // 2))
+        # Half of the bits differ at most by chance, so wide quotas need no look at the chains.
+        return (tau >= m) | (low(d, m) & some)
+
+    return F.when(t < 4, chains(64)).when(t < 7, chains(32)).otherwise(chains(48))
+
+
 def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x["node"], y["node"]).alias("u"), F.greatest(x["node"], y["node"]).alias("v")]
 
@@ -169,20 +222,22 @@ def _family_links(met: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFra
 
 
 def roots(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, root) of every node of ``rows`` (h long, node long, n int, fp long, keys array<long>) that has near copies.
+    """(node, root) of every node of ``rows`` (h long, node long, n int, fp long, keys array<struct<i int, k long, ring long>>) that has near copies.
     ``docs`` (text) holds the texts, h their xxhash64.  Both are read repeatedly."""
     nodes = rows.groupBy("node").agg(F.min(F.struct("h", "n", "fp", "keys")).alias("k")).select("node", "k.h", "k.n", "k.fp", "k.keys")
     nodes = cut(nodes, "nodes")
-    each = nodes.select(F.struct("node", "n", "fp").alias("x"), F.posexplode("keys").alias("i", "k"))
-    sizes = cut(each.groupBy("i", "k").agg(F.count("*").alias("c"), F.array_distinct(F.array(*[F.min_by("x", F.xxhash64("x.node", F.lit(c))) for c in range(CENTRES)])).alias("centres")).where("c > 1"), "sizes")
+    each = nodes.select("node", "n", "fp", F.explode("keys").alias("e")).select("e.i", "e.k", F.struct("node", "n", "fp", "e.ring").alias("x"))
+    sizes = cut(each.groupBy("i", "k").agg(F.count("*").alias("c")).where("c > 1"), "sizes")
     met = cut(each.join(sizes, ["i", "k"]), "met")
     wanted = nodes.join(met.select("x.node").distinct(), "node").select("node", "h")
     texts = docs.select(F.xxhash64("text").alias("h"), "text").join(wanted, "h").dropDuplicates(["node"])
     sets = cut(_sets(texts), "shingles")
     small = met.where(f"c <= {SMALL}").groupBy("i", "k").agg(F.collect_list("x").alias("m"))
-    large = met.where(f"c > {SMALL}").select("i", "k", "x", "centres")
-    stars = large.select("x", F.explode("centres").alias("y")).where("x.node <> y.node").where(_may(F.col("x"), F.col("y"))).select(*_ordered(F.col("x"), F.col("y")))
-    links = cut(_confirmed(_pairs(small, "m", "m", _may).union(stars), sets), "stars")
+    large = met.where(f"c > {SMALL}").select("i", "k", "x")
+    centres = large.groupBy("i", "k").agg(F.array_distinct(F.array(*[F.min_by("x", F.xxhash64("x.node", F.lit(c))) for c in range(CENTRES)])).alias("centres"))
+    near = lambda x, y: _may(x, y) & _keeps(F.col("i"), x, y)
+    stars = large.join(centres, ["i", "k"]).select("i", "x", F.explode("centres").alias("y")).where("x.node <> y.node").where(near(F.col("x"), F.col("y"))).select(*_ordered(F.col("x"), F.col("y")))
+    links = cut(_confirmed(_pairs(small, "m", "m", near).union(stars), sets), "stars")
     first = cut(connected_components(links), "first")
     # Nodes of the large groups that hold several classes by now.
     parted = large.select("i", "k", "x.*").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +115,24 @@ def test_dedup_finds_edited_copies(spark, monkeypatch, small, hot, block):
     assert 100 < len(want) < 320 and got == want
 
 
+def test_near_copies_meet_on_the_ring():
+    """Keys are the SimHashes of the ring's segments, and sets at the limit of similarity share one, whole or sampled."""
+    rng = np.random.default_rng(5)
+    for a in (5, 9, 31, 33, 64, 127, 200, 255, 256, 500, 1023, 5000):
+        for b in {a, a + a // 8, a + a // 4}:
+            for _ in range(20):
+                common = -(-8 * (a + b) // 18)  # the least that gives 0.8
+                pool = np.unique(rng.integers(0, 1 << 64, a + b - common, np.uint64, endpoint=False))
+                rng.shuffle(pool)
+                x, y = np.sort(pool[:a]), np.sort(np.concatenate([pool[:common], pool[a:]]))
+                keys = [set(zip(*near_copies.ring_keys(h)[:2].tolist(), strict=True)) for h in (x, y)]
+                assert common <= a and keys[0] & keys[1]
+    h = np.sort(rng.integers(0, 1 << 64, 200, np.uint64))
+    for i, k, _ in near_copies.ring_keys(h).T.tolist():
+        own = [v for v in h.tolist() if (v & 0xFFFFFFFF) * near_copies.segments_of(i // 64) >> 32 == i % 64]
+        assert k == sum((2 * sum(v >> b & 1 for v in own) > len(own)) << b for b in range(64))
+
+
 def test_odd_rows_in_every_stage(spark):
     """Nulls in any column, repeated rows, clashing extra columns: each stage keeps the columns, and the pipeline's last
     stage has a row for each document that the mix takes."""
