@@ -144,10 +144,10 @@ def _may(x: Column, y: Column) -> Column:
     return (least >= LEAST * most - 1e-9) & ((least < FEW) | (F.bit_count(x["fp"].bitwiseXOR(y["fp"])) <= TAU))
 
 
-def _keeps(i: Column, x: Column, y: Column) -> Column:
-    """Whether some start in the ring of two nodes (structs with n, ring) that meet in ``i`` keeps the quotas of its chains: of
-    one segment, a quarter, a half and all of the ring."""
-    t, d = F.shiftright(i, 6), x["ring"].bitwiseXOR(y["ring"])
+def _keeps(t: Column, x: Column, y: Column) -> Column:
+    """Whether some start in the ring of two nodes (structs with n, ring) that meet at level ``t`` keeps the quotas of its
+    chains: of one segment, a quarter, a half and all of the ring."""
+    d = x["ring"].bitwiseXOR(y["ring"])
     mean = (x["n"] + y["n"]) * ((1 - LEAST) / (1 + LEAST)) / F.pow(F.lit(2.0), F.greatest(F.lit(0), t + 1 - SAMPLED))
     tau = F.when(t < SAMPLED, mean).otherwise(mean + DEVIATIONS * F.sqrt(mean)) + 1e-9
 
@@ -176,6 +176,14 @@ def _pairs(table: DataFrame, a: str, b: str, ok: Callable[[Column, Column], Colu
     return table.select(F.explode(found).alias("p")).select("p.u", "p.v")
 
 
+def _stars(large: DataFrame, centres: DataFrame, near: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """(u, v) of the nodes x of ``large`` (i, k, x) and those of their ``centres`` (i, k, centres) that are ``near``.  Similar
+    groups have the same centres, and a node meets them in most segments of its ring: it is compared with each once a level."""
+    met = large.join(centres, ["i", "k"]).groupBy(F.shiftright("i", 6).alias("t"), "x").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("m"))
+    each = met.select("t", "x", F.explode("m").alias("y")).where("x.node <> y.node")
+    return each.where(near(F.col("t"), F.col("x"), F.col("y"))).select(*_ordered(F.col("x"), F.col("y")))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v) that are similar enough."""
     a, b = sets.toDF("u", "a"), sets.toDF("v", "b")
@@ -235,9 +243,8 @@ def roots(rows: DataFrame, docs: DataFrame) -> DataFrame:
     small = met.where(f"c <= {SMALL}").groupBy("i", "k").agg(F.collect_list("x").alias("m"))
     large = met.where(f"c > {SMALL}").select("i", "k", "x")
     centres = large.groupBy("i", "k").agg(F.array_distinct(F.array(*[F.min_by("x", F.xxhash64("x.node", F.lit(c))) for c in range(CENTRES)])).alias("centres"))
-    near = lambda x, y: _may(x, y) & _keeps(F.col("i"), x, y)
-    stars = large.join(centres, ["i", "k"]).select("i", "x", F.explode("centres").alias("y")).where("x.node <> y.node").where(near(F.col("x"), F.col("y"))).select(*_ordered(F.col("x"), F.col("y")))
-    links = cut(_confirmed(_pairs(small, "m", "m", near).union(stars), sets), "stars")
+    near = lambda t, x, y: _may(x, y) & _keeps(t, x, y)
+    links = cut(_confirmed(_pairs(small, "m", "m", lambda x, y: near(F.shiftright("i", 6), x, y)).union(_stars(large, centres, near)), sets), "stars")
     first = cut(connected_components(links), "first")
     # Nodes of the large groups that hold several classes by now.
     parted = large.select("i", "k", "x.*").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -115,6 +115,28 @@ def test_dedup_finds_edited_copies(spark, monkeypatch, small, hot, block):
     assert 100 < len(want) < 320 and got == want
 
 
+def test_centres_are_compared_once(spark, monkeypatch):
+    """A family of near copies meets in most segments of its ring, mostly with the same centres: a node is compared with each
+    of them once a level, so its pairs are few, and all of the family is one class."""
+    monkeypatch.setattr(near_copies, "SMALL", 1)
+    asked, confirmed = [], near_copies._confirmed
+
+    def counted(pairs, sets):
+        asked.append((pairs.count(), pairs.distinct().count()))
+        return confirmed(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_confirmed", counted)
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(300)]
+    texts = [(i, " ".join(_edited(rng, words, 300 + i % 5)), "en", "s", 0) for i in range(120)]
+    docs = spark.createDataFrame(texts, spark.read.parquet(f"{SF}/documents.parquet").schema)
+    stage = dict(corpus_pipeline.STAGES)["simhash_dedup"]
+    assert [r["doc_id"] for r in stage(spark, docs, SF).collect()] == brute_kept(docs.collect()) == [0]
+    # Two levels, and two centres that ask for each other.
+    rows, pairs = asked[0]
+    assert 119 <= pairs <= rows <= 4 * pairs
+
+
 def test_near_copies_meet_on_the_ring():
     """Keys are the SimHashes of the ring's segments, and sets at the limit of similarity share one, whole or sampled."""
     rng = np.random.default_rng(5)
